@@ -53,9 +53,9 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     level = (F.lit(share) * F.sum("size").over(every) - F.coalesce(F.sum("room").over(before), F.lit(0.0))) / F.sum("weight").over(after)
     # the levels fall until the first source that isn't full and are right there; all later sources share it
-    levels = room.withColumn("level", level).withColumn("open", F.col("weight") * F.col("level") <= F.col("room"))
-    first = F.min(F.when(F.col("open"), F.struct(F.col("room") / F.col("weight"), "level"))).over(every)
-    return levels.withColumn("target", F.least(F.coalesce(F.col("weight") * first["level"], F.col("room")), F.col("room"))).drop("room", "level", "open")
+    levels = room.withColumn("level", level).withColumn("turn", F.row_number().over(fill)).withColumn("open", F.col("weight") * F.col("level") <= F.col("room"))
+    first = F.min(F.when(F.col("open"), F.struct("turn", "level"))).over(every)
+    return levels.withColumn("target", F.least(F.coalesce(F.col("weight") * first["level"], F.col("room")), F.col("room"))).drop("room", "level", "turn", "open")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeat: int = 2, seed: int = 20240229, size: Column | None = None, favour: Column | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
