@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, neighbours, simhash, windows
+from . import decontaminate, mixing, neighbours, simhash, tokencount, windows
 from .shared import table
 
 
@@ -23,6 +23,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
     "op6_simhash": op6_simhash,
+    "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
     "op10_decontaminate": op10_decontaminate,
 }
