@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, neighbours, simhash, tokencount, windows
+from . import decontaminate, mixing, neighbours, simhash, surrogates, tokencount, windows
 from .shared import table
 
+#: The key of the registered query and the pipeline; real runs pass a secret of their own.
+PII_KEY = "not a secret"
+
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -19,6 +22,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.dedup(table(spark, sf_dir, "documents"), text=False)
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
@@ -38,6 +45,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_surrogates": op3_surrogates,
     "op6_simhash": op6_simhash,
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
