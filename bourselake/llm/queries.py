@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, neighbours, simhash, surrogates, tokencount, windows
+from . import decontaminate, mixing, neighbours, quality, simhash, surrogates, tokencount, windows
 from .shared import table
 
 #: The key of the registered query and the pipeline; real runs pass a secret of their own.
@@ -30,6 +30,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_surrogates": op3_surrogates,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
     "op10_decontaminate": op10_decontaminate,
