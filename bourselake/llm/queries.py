@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, neighbours, quality, simhash, surrogates, tokencount, windows
+from . import decontaminate, language, mixing, neighbours, quality, simhash, surrogates, tokencount, windows
 from .shared import table
 
 #: The key of the registered query and the pipeline; real runs pass a secret of their own.
@@ -26,6 +26,10 @@ def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_surrogates": op3_surrogates,
+    "op4_language": op4_language,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
