@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, neighbours, quality, simhash, surrogates, tokencount, windows
+from . import decontaminate, language, mixing, neighbours, quality, quotes, simhash, surrogates, tokencount, windows
 from .shared import table
 
 #: The key of the registered query and the pipeline; real runs pass a secret of their own.
@@ -30,6 +30,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op5_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_surrogates": op3_surrogates,
     "op4_language": op4_language,
+    "op5_quotes": op5_quotes,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_token_counts": op8_token_counts,
