@@ -59,7 +59,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeat: int = 2, seed: int = 20240229, size: Column | None = None, favour: Column | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Per document: doc_id, size, source, source_size, target, copies, taken (words taken, repeats counted).
+    """Per document: doc_id, size, source, source_size, target, copies, taken (words taken, repeats counted), tie (hash of the text).
 
     `favour`: a positive number per document (null: 1); expected copies within a source are in proportion to it,
     so that inclusion probabilities differ from document to document.
@@ -108,4 +108,4 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     inner = inner.withColumn("extra", F.col("ahead") + F.col("size") / 2 <= F.col("rest")).drop("ahead")
     outer = placed.where(~cut).withColumn("extra", (F.col("before") < F.col("rest")) & (F.col("in_bucket") > 0))
     copies = F.least(F.col("sure") + F.col("extra").cast("long"), F.lit(max_repeat).cast("long"))
-    return outer.unionByName(inner).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return outer.unionByName(inner).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "tie")

@@ -22,11 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .shared import checkpoint, free_name
+from .shared import checkpoint
 
 SEED = 42
 RADIUS = 3
@@ -154,8 +154,8 @@ class Tree:
             node = node[2][d]
 
 
-def forest(numbers: list[int], radius: int) -> list[tuple[int, int]]:
-    """Places of linked numbers, one link for each two groups that a number joins."""
+def forest(numbers: list[int], radius: int, spare: int = 0) -> list[tuple[int, int]]:
+    """Places of linked numbers: one link for each two groups that a number joins, and its `spare` nearest."""
     links: list[tuple[int, int]] = []
     if len(numbers) < 2:
         return links
@@ -169,24 +169,29 @@ def forest(numbers: list[int], radius: int) -> list[tuple[int, int]]:
 
     tree = Tree(radius)
     for i, number in enumerate(numbers):
-        for j in tree.near(number):
+        near = tree.near(number)
+        if spare:
+            near.sort(key=lambda j: (numbers[j] ^ number).bit_count())
+        for k, j in enumerate(near):
             a, b = top(i), top(j)
             if a != b:
                 group[a] = b
+            if a != b or k < spare:
                 links.append((i, j))
         tree.insert(number, i)
     return links
 
 
-def links(sharded: DataFrame, key: list[str], node: str, radius: int) -> DataFrame:
-    """Links (a, b) of nodes of one shard whose fingerprints are within the radius: a spanning forest of each shard."""
+def links(sharded: DataFrame, key: list[str], node: str, radius: int, spare: int = 0) -> DataFrame:
+    """Links (a, b) of nodes of one shard whose fingerprints are within the radius: a spanning forest of each shard,
+    and `spare` more per node where links are yet to be checked."""
     kind = dict(sharded.dtypes)[node]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, nodes, numbers = None, [], []
 
         def linked() -> pa.RecordBatch | None:
-            found = forest(numbers, radius)
+            found = forest(numbers, radius, spare)
             if found:
                 a, b = zip(*found, strict=True)
                 return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in a], own), pa.array([nodes[i] for i in b], own)], ["a", "b"])
@@ -207,9 +212,8 @@ def links(sharded: DataFrame, key: list[str], node: str, radius: int) -> DataFra
         if len(nodes) > 1 and (out := linked()):
             yield out
 
-    return (
-        sharded.select(*key, node, "fingerprint").repartition(*key).sortWithinPartitions(*key, "fingerprint", node).mapInArrow(search, f"a {kind}, b {kind}").distinct()
-    )
+    in_shards = sharded.select(*key, node, "fingerprint").repartition(*key).sortWithinPartitions(*key, "fingerprint", node)
+    return in_shards.mapInArrow(search, f"a {kind}, b {kind}").distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
@@ -260,3 +264,102 @@ def groups(docs: DataFrame, shingle: int = 3, radius: int = RADIUS) -> DataFrame
     classes = named.join(label, "root").select("fingerprint", "component_id")
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return prints.join(classes, "fingerprint").select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+#: Of `near_duplicates`: min-hash bands and rows, radius of the tree search, links per node that are checked.
+BANDS, BAND_ROWS, WIDE_RADIUS, SPARE_LINKS = 16, 4, 24, 3
+MAX_BROADCAST_ROWS = 500_000
+_rng = np.random.default_rng(11)
+_MULTIPLIERS = _rng.integers(1 << 63, size=BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XORS = _rng.integers(1 << 63, size=BANDS * BAND_ROWS, dtype=np.uint64)
+
+
+def band_keys(hashes: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """A row of BANDS keys for each text, each of the smallest hashes under BAND_ROWS orders; zeros without shingles."""
+    out = np.zeros((len(each), BANDS), np.uint64)
+    rows = np.flatnonzero(each)
+    if not len(rows):
+        return out
+    cuts = np.cumsum(each[rows]) - each[rows]
+    for b in range(BANDS):
+        key = np.full(len(rows), b, np.uint64)
+        for k in range(b * BAND_ROWS, (b + 1) * BAND_ROWS):
+            key = W.mix(key ^ np.minimum.reduceat((hashes ^ _XORS[k]) * _MULTIPLIERS[k], cuts))
+        out[rows, b] = key
+    return out
+
+
+def traits(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, row (hash of the text), node (hash of the lower-cased word sequence), fingerprint and band keys."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, "text"):
+            w = W.texts(batch.column("text")).words(W.NOT_SPACE, lower=True)
+            hashes, each = shingle_hashes(w, shingle)
+            a, b = (W.span_hash(w.hashes(i), w.rows[:-1], w.rows[1:], i) for i in (0, 1))
+            nodes = pa.array([f"{x:016x}{y:016x}" for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.string())
+            bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(hashes, each).ravel().view(np.int64)), BANDS).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), nodes, pa.array(majority(hashes, each).view(np.int64)), bands], ["doc_id", "row", "node", "fingerprint", "bands"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
+    return rows.mapInArrow(compute, "doc_id long, row long, node string, fingerprint long, bands array<long>")
+
+
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """row and the sorted distinct shingles of each text, by the upper 32 bits of their hashes."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, "text"):
+            hashes, each = shingle_hashes(W.texts(batch.column("text")).words(W.NOT_SPACE, lower=True), shingle)
+            short = (hashes >> np.uint64(32)).astype(np.uint32)
+            sets = [np.unique(x).view(np.int32) for x in np.split(short, np.cumsum(each)[:-1])]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sets, pa.list_(pa.int32()))], ["row", "shingles"])
+
+    return docs.mapInArrow(compute, "row long, shingles array<int>")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, row, node and the doc_id and row that stay (keep_doc, keep_row) of every row: the smallest of its group.
+
+    Grouped are texts whose shingle sets have a Jaccard similarity of `similarity` or more, directly or over others.
+    """
+    every = checkpoint(traits(docs, shingle))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    nodes = checkpoint(every.groupBy("node").agg(F.min(order).alias("first"), F.min("fingerprint").alias("fingerprint"), F.min("bands").alias("bands")))
+    sharded = nodes.select("node", "fingerprint", F.posexplode("bands").alias("band", "value"))
+    found = checkpoint(links(sharded, ["band", "value"], "node", WIDE_RADIUS, SPARE_LINKS))
+    ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
+    sought = checkpoint(nodes.join(ends, "node", "left_semi").select("node", F.col("first.row").alias("row")))
+    texts = docs.select(F.xxhash64("text").alias("row"), "text").join(small(sought.select("row").distinct(), sought.count()), "row", "left_semi")
+    sets = checkpoint(shingle_sets(texts.dropDuplicates(["row"]), shingle).join(sought, "row").select("node", "shingles"))
+    a, b = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    alike = found.join(a, "a").join(b, "b").where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+    roots = components(alike)
+    named = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    keep = named.groupBy("root").agg(F.min("first").alias("keep"))
+    kept = named.join(keep, "root").select("node", "keep.doc_id", "keep.row").toDF("node", "keep_doc", "keep_row")
+    return every.select("doc_id", "row", "node").join(kept, "node")
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A side of at most so many counted rows is broadcast, a larger one joined by shuffle."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One document of each group, all columns as they are: that of the smallest doc_id.
+
+    Defined cases: null and empty texts are one group; of rows that repeat doc_id and text one stays; a null doc_id
+    comes after all others.
+    """
+    groups = checkpoint(near_duplicates(docs, shingle, similarity))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_doc")) & (F.col("row") == F.col("keep_row"))
+    gone = checkpoint(groups.where(~stays).select("doc_id", "row").distinct().toDF("_doc", "_row"))
+    same = F.col("_doc").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("_row") == F.xxhash64(docs["text"]))
+    out = docs.join(small(gone, gone.count()), same, "left_anti")
+    twins = checkpoint(groups.where(stays).groupBy("doc_id", "row").count().where("count > 1").select("doc_id", "row").toDF("_doc", "_row"))
+    if n := twins.count():
+        once = out.join(small(twins, n), same, "left_semi").dropDuplicates(["doc_id", "text"])
+        out = out.join(small(twins, n), same, "left_anti").unionByName(once)
+    return out
