@@ -231,7 +231,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
         F.size("found.items").cast("long").alias("n_items"),
         F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
         (F.size("found.matches") > 0).alias("contaminated"),
-        F.aggregate("found.matches", F.lit(0), lambda a, m: F.greatest(a, m["length"])).alias("longest_run"),
+        F.aggregate("found.matches", F.lit(0), lambda a, m: F.greatest(a, m["length"])).cast("long").alias("longest_run"),
     )
 
 

@@ -26,6 +26,7 @@ from .shared import checkpoint
 BUCKET_ROWS = 2_000
 #: Per-source figures are broadcast up to so many sources (counted first), else joined by shuffle.
 MAX_BROADCAST_SOURCES = 50_000
+SEED = 20240229
 #: Words are maximal runs of other characters than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -36,7 +37,8 @@ def word_count(text: Column) -> Column:
 
 def uniform(seed: int, *keys: str) -> Column:
     """A number in (0, 1) that depends on the seed and the keys alone."""
-    return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    named = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return (F.conv(F.substring(F.md5(named), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeat: float = 2) -> DataFrame:
@@ -58,7 +60,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     return levels.withColumn("target", F.least(F.coalesce(F.col("weight") * first["level"], F.col("room")), F.col("room"))).drop("room", "level", "turn", "open")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeat: int = 2, seed: int = 20240229, size: Column | None = None, favour: Column | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeat: int = 2, seed: int = SEED, size: Column | None = None, favour: Column | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Per document: doc_id, size, source, source_size, target, copies, taken (words taken, repeats counted), tie (hash of the text).
 
     `favour`: a positive number per document (null: 1); expected copies within a source are in proportion to it,

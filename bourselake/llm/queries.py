@@ -15,7 +15,7 @@ PII_KEY = "not a secret"
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +67,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_mix_sources": rf"""
+        with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+                          (cast(('0x' || substr(md5('{mixing.SEED}|' || doc_id), 1, 13)) as bigint) + 0.5::double) / 4503599627370496::double as u from documents),
+             s as (select source, cast(sum(size) as bigint) as size from d group by 1),
+             w as (select *, [5.0::double, 2.0::double, 1.0::double][1 + (row_number() over (order by source nulls last) - 1) % 3] as weight, 2.0::double * size as room, 1.5::double * sum(size) over () as share from s),
+             o as (select *, row_number() over (order by room / weight, source nulls last) as turn from w),
+             l as (select *, (share - coalesce(sum(room) over (order by turn rows between unbounded preceding and 1 preceding), 0.0::double)) / sum(weight) over (order by turn rows between current row and unbounded following) as level from o),
+             f as (select arg_min(level, turn) as level from l where weight * level <= room),
+             t as (select l.source, l.size as source_size, least(coalesce(l.weight * f.level, l.room), l.room) as target from l left join f on true),
+             r as (select d.*, t.source_size, t.target, case when t.source_size > 0 then cast(floor(t.target / t.source_size) as bigint) else 0 end as sure from d join t on d.source is not distinct from t.source),
+             p as (select *, target - sure * source_size as rest, coalesce(sum(size) over (partition by source order by u, doc_id rows between unbounded preceding and 1 preceding), 0) as ahead from r)
+        select doc_id, size, source_size, target, source, size * least(2, sure + case when rest > 0 and ahead + size / 2.0 <= rest then 1 else 0 end) as taken from p
+    """,
+    "op2_substring_dedup": r"""
+        with w as (select doc_id, row_number() over () as r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+             i as (select doc_id, r, w, unnest(range(1, greatest(len(w) - 11, 1))) as i from w),
+             g as (select doc_id, r, i, array_to_string(w[i:i + 12], ' ') as g from i),
+             m as (select g, min(doc_id) as first from g group by 1 having min(doc_id) < max(doc_id)),
+             h as (select g.r, g.i from g join m on g.g = m.g where g.doc_id > m.first),
+             c as (select distinct r, i + k as p from h, (select unnest(range(13)) as k)),
+             x as (select r, unnest(w) as x, unnest(range(1, len(w) + 1)) as p from w),
+             k as (select x.r, string_agg(x.x, ' ' order by x.p) as kept from x left join c on c.r = x.r and c.p = x.p where c.p is null group by 1),
+             n as (select r, count(*) as n from c group by 1)
+        select doc_id, cast(len(w) as bigint) as n_words, coalesce(n, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+        from w left join k on k.r = w.r left join n on n.r = w.r
+    """,
+    "op10_decontaminate": r"""
+        with t as (select 0 as item, doc_id as id, row_number() over () as r, text from documents union all select 1, item_id, row_number() over (), text from benchmark),
+             w as (select item, id, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from t),
+             s as (select r, id, w, least(len(w), 10) as n from w where item = 1 and len(w) > 0),
+             b as (select distinct cast(id as varchar) as id, n, array_to_string(w[i:i + n - 1], ' ') as g from (select *, unnest(range(1, len(w) - n + 2)) as i from s)),
+             z as (select distinct n from b),
+             g as (select r, n, i, array_to_string(w[i:i + n - 1], ' ') as g from (select w.r, w.w, z.n, unnest(range(1, greatest(len(w) - z.n + 2, 1))) as i from w, z where w.item = 0)),
+             h as (select g.r, g.i, g.n, b.id from g join b on b.n = g.n and b.g = g.g),
+             p as (select distinct r, unnest(range(i, i + n)) as p from (select distinct r, i, n from h)),
+             c as (select r, count(*) as n_hit from p group by 1),
+             a as (select r, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct r, id from h) group by 1),
+             runs as (select r, count(*) as n from (select r, p - row_number() over (partition by r order by p) as run from p) group by r, run)
+        select w.id as doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated,
+               coalesce((select max(n) from runs where runs.r = w.r), 0) as longest_run
+        from w left join c on c.r = w.r left join a on a.r = w.r where w.item = 0
+    """,
+}
