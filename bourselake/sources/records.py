@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,7 +39,10 @@ def written_keys(lines: DataFrame, key: str = "disclosure_index", column: str =
 
 def read_written_keys(spark: SparkSession, path: str, key: str = "disclosure_index") -> DataFrame:
     """Keys that are written already; none where nothing is written yet."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+    try:
+        lines = spark.read.text(path, recursiveFileLookup=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], f"{key} long")
-    return written_keys(spark.read.text(path, recursiveFileLookup=True), key)
+    return written_keys(lines, key)
