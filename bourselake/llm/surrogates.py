@@ -38,17 +38,22 @@ SYLLABLES = ["ba", "be", "bo", "da", "de", "do", "fa", "fe", "ga", "go", "ha", "
 ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àáâäåçèéêëìíîïñòóôöùúûü", "ÀÁÂÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"]
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_END = r"(?![\p{L}\p{N}])"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+(?<!-)",
-    "secret": r"(?<![\p{L}\p{N}_-])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,255}|sk-[A-Za-z0-9]{20,128})(?![\p{L}\p{N}_-])",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}])(?!\.\d)",
-    "phone": r"(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|(?<![\p{L}\p{N}+.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?![\p{L}\p{N}])",
-    "card": r"(?<![\p{L}\p{N}])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{13,19})(?![\p{L}\p{N}])",
-    "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})(?:\. ?| )\p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,2}}",
+    "email": r"[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+(?<!-)",
+    "secret": rf"(?:(?=[a-f]*\d)[0-9a-f]{{32,128}}|(?=[A-F]*\d)[0-9A-F]{{32,128}}|AKIA(?=[A-Z]*\d)[0-9A-Z]{{16}}|gh[pousr]_(?=[A-Za-z]*\d)[A-Za-z0-9]{{20,255}}|sk-(?=[A-Za-z]*\d)[A-Za-z0-9]{{20,128}})(?!_){_END}",
+    "iban": rf"[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_END}",
+    "ip": rf"(?<!\.)(?:{_OCTET}\.){{3}}{_OCTET}(?!\.\d){_END}",
+    "phone": rf"(?:\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:[ .-]?\d{{2,4}}){{1,4}}|(?<![+.-])(?:\(\d{{3}}\) ?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}){_END}",
+    "card": rf"(?:\d{{4}}[ -]\d{{4}}[ -]\d{{4}}[ -]\d{{4}}|\d{{13,19}}){_END}",
+    "ssn": rf"(?<!-)\d{{3}}-\d{{2}}-\d{{4}}(?!-){_END}",
+    "name": rf"(?=[DFHMPS])(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})(?:\. ?| )\p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,2}}",
 }
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_any = lambda *kinds: "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
+#: An entity begins where no letter or digit stands before; then its first character decides what it can be.
+ENTITY = rf"(?<![\p{{L}}\p{{N}}])(?:(?=\p{{L}})(?:{_any('email', 'secret', 'iban', 'name')})|(?=[\d+(])(?:{_any('email', 'secret', 'ip', 'phone', 'card', 'ssn')}))"
+#: Every entity has a digit, an @ or a title: texts without any are not searched further.
+SIGN = rf"[\d@]|(?=[DFHMPS])(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})[. ]"
 
 
 def digits_of(c: Column) -> Column:
@@ -149,7 +154,7 @@ def in_format(kind: Column, found: Column, new: Column) -> Column:
 
 
 def mentions(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+    return F.when(text.rlike(SIGN), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
 
 
 def tried_surrogates(entities: DataFrame, key: str, attempt: Column) -> DataFrame:
@@ -203,5 +208,5 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     written = news(digests(forms(kinds(F.col(found)))))
     between = F.split(F.col(text), ENTITY, -1)
     joined = F.array_join(F.zip_with(between, F.concat(written, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    out = marked.withColumn(text, F.when(F.size(found) > 0, joined).otherwise(F.col(text))).withColumn(name, F.greatest(F.size(found), F.lit(0)).cast("long"))
+    out = marked.withColumn(text, F.when(F.size(found) > 0, joined).otherwise(F.col(text))).withColumn(name, F.coalesce(F.size(found), F.lit(0)).cast("long"))
     return out.select(*docs.columns, name)
