@@ -52,7 +52,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = 0) -> np.ndarray:
-    """64-bit hashes of values[start:end]; equal spans hash equally wherever they stand."""
+    """64-bit hashes of values[start:end], starts ascending; equal spans hash equally wherever they stand."""
+    if len(values) > 2 * SLICE_BYTES and len(starts) > 1:  # of a very long text, a stretch at a time
+        cuts = np.searchsorted(starts, np.arange(SLICE_BYTES, len(values), SLICE_BYTES))
+        groups = [g for g in np.split(np.arange(len(starts)), cuts) if len(g)]
+        if len(groups) > 1:
+            parts = [(g, starts[g[0]], ends[g].max()) for g in groups]
+            return np.concatenate([span_hash(values[a:b], starts[g] - a, ends[g] - a, base) for g, a, b in parts])
     up, down = _powers(_BASES[base], len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=total[1:])
