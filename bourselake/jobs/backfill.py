@@ -15,6 +15,7 @@ from ..operators.resume import completeness, not_written
 from ..sources.listing import quarantine, read_listing, read_watchlist
 from ..sources.pages import parse_pages, read_pages
 from ..sources.records import read_written_keys, write_records
+from ..sources.tables import checkpoint
 
 
 def listed(listing: DataFrame, watchlist: DataFrame, first: datetime.date, last: datetime.date, url_template: str) -> DataFrame:
@@ -28,7 +29,7 @@ def run(spark: SparkSession, landed: str, out: str, first: datetime.date, last:
     rows = listed(listing, read_watchlist(spark, f"{landed}/watchlist"), first, last, url_template)
     todo = not_written(rows, read_written_keys(spark, out))
     pages = read_pages(spark, f"{landed}/pages").join(todo.select("disclosure_index"), "disclosure_index", "left_semi")
-    write_records(records(todo, parse_pages(pages), results), out)
+    write_records(records(todo, checkpoint(parse_pages(pages)), results), out)
     return completeness(rows, read_written_keys(spark, out))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,6 +15,7 @@ from ..sources import attachments as attachment_files
 from ..sources import listing as listing_files
 from ..sources import pages as page_files
 from ..sources import records as record_files
+from ..sources.tables import checkpoint, scratch
 from ..streaming import retry, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,13 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared folder of the session; a temporary one only where the session names none."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="bourselake-")
-    return f"{root.rstrip('/')}/{name}-{datetime.datetime.now().timestamp():.6f}"
-
-
 # --- listing ---
 
 
@@ -556,9 +549,8 @@ def full_record(spark, sf_dir):
     for f in RECORD.fields[:21]:
         if f.name not in listed.columns:
             listed = listed.withColumn(f.name, F.lit(None).cast(f.dataType))
-    parsed = page_files.parse_pages(table(spark, sf_dir, "pages").withColumnRenamed("page_id", "disclosure_index"), WEB)
-    links = pages.page_links(parsed)
-    links = names.mark_to_read(links)
+    parsed = checkpoint(page_files.parse_pages(table(spark, sf_dir, "pages").withColumnRenamed("page_id", "disclosure_index"), WEB))
+    links = names.mark_to_read(pages.page_links(parsed))
     texts = links.where("to_read").select("disclosure_index", "file_id", attachment_files.result_struct("unsupported").alias("result"))
     whole = attachments.complete_only(listed, links, texts)
     none = parsed.select("disclosure_index", F.array().cast(f"array<{STATEMENT.simpleString()}>").alias("financial_statements"))

@@ -13,6 +13,7 @@ from ..operators.records import records
 from ..sources.listing import read_watchlist, stream_listing
 from ..sources.pages import parse_pages, read_pages
 from ..sources.records import read_written_keys, write_records
+from ..sources.tables import checkpoint as cut
 from ..streaming.watch import append_once, catch_up, once_each
 
 
@@ -22,9 +23,8 @@ def run(spark: SparkSession, landed: str, out: str, checkpoint: str, start: date
     rows = once_each(catch_up(rows, "publish_date", start), "publish_date", "disclosure_index")
 
     def write(new: DataFrame, number: int) -> None:
-        new = new.persist()
+        new = cut(new)
         pages = read_pages(spark, f"{landed}/pages").join(new.select("disclosure_index"), "disclosure_index", "left_semi")
-        write_records(records(new, parse_pages(pages), spark.read.parquet(results)).coalesce(4), out)
-        new.unpersist()
+        write_records(records(new, cut(parse_pages(pages)), spark.read.parquet(results)).coalesce(4), out)
 
     return append_once(rows, "disclosure_index", lambda: read_written_keys(spark, out), write, checkpoint, trigger, F.col("publish_date"))
