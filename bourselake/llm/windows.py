@@ -7,8 +7,9 @@ never too low, so a window that another chunk also holds is never lost. In the s
 windows whose every cell is repeated, with 96 bits of hash and the smallest doc_id that holds them; owners group
 them exactly and answer, again by one bit each, whether another chunk has a smaller doc_id.
 
-Nothing is broadcast and nothing is kept per corpus: a message is about ten bits per window and sketch row, then
-fifteen bytes per repeated window, and the width of the sketch follows the number of chunks. A passage that a third
+Nothing is broadcast and nothing is kept per corpus: a chunk sends each owner one message per round, about ten bits
+per window and sketch row, then fifteen bytes per repeated window, and the width of the sketch follows the number of
+chunks. A passage that a third
 of all documents share is one entry per chunk. The plan has one exchange of the documents, used by all rounds.
 
 Defined cases: a null or empty text has no words; a document of fewer words than a window loses none; rows with
@@ -18,6 +19,7 @@ equal doc_id don't cover each other; a null doc_id comes after all others; an em
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,8 +35,10 @@ from .shared import shuffle_partitions
 DEPTH, SPARE_BITS, CHUNK_WINDOWS = 2, 3, 1 << 22
 NO_ID = np.iinfo(np.int64).max
 
-_MESSAGE = "chunk int, part int, block int, n int, body binary"
-_REPLY = "chunk int, part int, block int, bits binary"
+#: The two rounds of messages, and what stands before the cells of a sketch row.
+SKETCH, EXACT, HEAD = 0, 1, struct.Struct("<ii")
+_MESSAGE = "chunk int, kind int, block int, n int, body binary"
+_REPLY = "chunk int, kind int, block int, bits binary"
 
 
 class Plan(NamedTuple):
@@ -109,23 +113,35 @@ def cells(w: Windows, part: int, plan: Plan) -> np.ndarray:
 
 
 def send_sketch(rows: pa.Table, plan: Plan) -> Iterator[tuple]:
+    """One message per range of cells, with the cells of all sketch rows: how many, how many bytes, the packed cells."""
     w = chunk_windows(rows, plan.window)
-    for part in range(DEPTH):
-        own = np.unique(cells(w, part, plan))
-        at = cuts(own, plan.bits, plan.blocks)
-        for b, (i, j) in enumerate(zip(at, at[1:], strict=False)):
-            if j > i:
-                yield part, b, j - i, pack(own[i:j])
+    own = [np.unique(cells(w, part, plan)) for part in range(DEPTH)]
+    at = [cuts(x, plan.bits, plan.blocks) for x in own]
+    for b in range(plan.blocks):
+        bodies = [(c[b + 1] - c[b], pack(x[c[b] : c[b + 1]]) if c[b + 1] > c[b] else b"") for x, c in zip(own, at, strict=True)]
+        if any(n for n, _ in bodies):
+            yield SKETCH, b, sum(n for n, _ in bodies), b"".join(HEAD.pack(n, len(x)) + x for n, x in bodies)
+
+
+def read_sketch(body: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    for _ in range(DEPTH):
+        n, size = HEAD.unpack_from(body, at)
+        at += HEAD.size + size
+        out.append(unpack(n, body[at - size : at]) if n else np.zeros(0, np.uint64))
+    return out
 
 
 def merge_sketches(messages: pa.Table) -> Iterator[bytes]:
     """For each message, in order, one bit per cell: do two chunks or more count it?"""
-    sent = [unpack(n, body) for n, body in zip(messages["n"].to_pylist(), messages["body"].to_pylist(), strict=True)]
-    every = np.concatenate(sent)
-    every.sort()
-    repeated = np.unique(every[1:][every[1:] == every[:-1]])
+    sent = [read_sketch(body) for body in messages["body"].to_pylist()]
+    repeated = []
+    for part in range(DEPTH):
+        every = np.concatenate([x[part] for x in sent])
+        every.sort()
+        repeated.append(np.unique(every[1:][every[1:] == every[:-1]]))
     for own in sent:
-        yield np.packbits(_isin(own, repeated)).tobytes()
+        yield b"".join(np.packbits(_isin(x, r)).tobytes() for x, r in zip(own, repeated, strict=True))
 
 
 def _isin(values: np.ndarray, in_order: np.ndarray) -> np.ndarray:
@@ -134,13 +150,16 @@ def _isin(values: np.ndarray, in_order: np.ndarray) -> np.ndarray:
     return in_order[np.minimum(np.searchsorted(in_order, values), len(in_order) - 1)] == values
 
 
-def _bits(replies: pa.Table, part: int, sizes: np.ndarray) -> np.ndarray:
-    """The replies of a part in order of blocks; sizes: how many were asked in each block."""
-    out = np.zeros(int(sizes.sum()), bool)
-    ends = np.cumsum(sizes)
-    for p, b, bits in zip(replies["part"].to_pylist(), replies["block"].to_pylist(), replies["bits"].to_pylist(), strict=True):
-        if p == part:
-            out[ends[b] - sizes[b] : ends[b]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(sizes[b])).astype(bool)
+def _bits(replies: pa.Table, kind: int, sizes: list[np.ndarray]) -> list[np.ndarray]:
+    """The replies of a kind, in order of blocks; sizes: how many were asked in each block, for each sketch row."""
+    out, ends = [np.zeros(int(n.sum()), bool) for n in sizes], [np.cumsum(n) for n in sizes]
+    for k, b, bits in zip(replies["kind"].to_pylist(), replies["block"].to_pylist(), replies["bits"].to_pylist(), strict=True):
+        if k == kind:
+            at = 0
+            for x, n, end in zip(out, sizes, ends, strict=True):
+                own = np.frombuffer(bits, np.uint8, (int(n[b]) + 7) // 8, at)
+                at += len(own)
+                x[end[b] - n[b] : end[b]] = np.unpackbits(own, count=int(n[b])).astype(bool)
     return out
 
 
@@ -157,9 +176,9 @@ class Repeated(NamedTuple):
 
 def repeated(w: Windows, replies: pa.Table, plan: Plan) -> Repeated:
     elsewhere = np.ones(len(w.h1), bool)
-    for part in range(DEPTH):
-        own, at = np.unique(cells(w, part, plan), return_inverse=True)
-        elsewhere &= _bits(replies, part, np.diff(cuts(own, plan.bits, plan.blocks)))[at]
+    asked = [np.unique(cells(w, part, plan), return_inverse=True) for part in range(DEPTH)]
+    for bits, (_, at) in zip(_bits(replies, SKETCH, [np.diff(cuts(own, plan.bits, plan.blocks)) for own, _ in asked]), asked, strict=True):
+        elsewhere &= bits[at]
     order = np.argsort(w.h1, kind="stable")
     h1 = w.h1[order]
     twice = np.zeros(len(h1), bool)
@@ -181,7 +200,7 @@ def send_repeated(rows: pa.Table, replies: pa.Table, plan: Plan) -> Iterator[tup
     at = cuts(h1, 64, plan.blocks)
     for b, (i, j) in enumerate(zip(at, at[1:], strict=False)):
         if j > i:  # doc_ids by byte planes: the high ones are alike and compress to nothing
-            yield DEPTH, b, j - i, h1[i:j].tobytes() + h2[i:j].tobytes() + doc[i:j].view(np.uint8).reshape(-1, 8).T.tobytes()
+            yield EXACT, b, j - i, h1[i:j].tobytes() + h2[i:j].tobytes() + doc[i:j].view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
 def group_repeated(messages: pa.Table) -> Iterator[bytes]:
@@ -206,7 +225,7 @@ def remove(rows: pa.Table, replies: pa.Table, plan: Plan) -> Iterator[tuple[pa.R
     r = repeated(w, replies, plan)
     h1 = r.h1[r.asked]
     smaller = np.zeros(len(r.h1), bool)
-    smaller[r.asked] = _bits(replies, DEPTH, np.diff(cuts(h1, 64, plan.blocks)))
+    (smaller[r.asked],) = _bits(replies, EXACT, [np.diff(cuts(h1, 64, plan.blocks))])
     shadowed = np.zeros(len(w.h1), bool)
     shadowed[r.where] = smaller[r.which] | (w.doc[r.where] > r.smallest[r.which])
     used = 0
@@ -236,15 +255,15 @@ def dedup(docs: DataFrame, window: int = 13, chunks: int | None = None, text: bo
     `chunks`: by default two for each of the session's shuffle partitions.
     """
     chunks = chunks or 2 * shuffle_partitions(docs.sparkSession)
-    plan = Plan(window, min(62, (chunks * CHUNK_WINDOWS - 1).bit_length() + SPARE_BITS), chunks)
+    plan = Plan(window, min(62, (chunks * CHUNK_WINDOWS - 1).bit_length() + SPARE_BITS), -(-chunks // 3))
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(key, F.lit(chunks)).cast("int").alias("chunk"))
 
     def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
         return pa.Table.from_pydict(dict(zip(schema.names, zip(*rows, strict=True), strict=True)) if rows else {n: [] for n in schema.names}, schema)
 
-    message = pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("body", pa.binary())])
-    reply = pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("block", pa.int32()), ("bits", pa.binary())])
+    message = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("body", pa.binary())])
+    reply = pa.schema([("chunk", pa.int32()), ("kind", pa.int32()), ("block", pa.int32()), ("bits", pa.binary())])
     result = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), *[("kept", pa.string())] * text])
 
     def ask_sketch(key, rows):
@@ -255,7 +274,7 @@ def dedup(docs: DataFrame, window: int = 13, chunks: int | None = None, text: bo
 
     def answer(decide):
         def to_all(key, messages):
-            return pa.Table.from_arrays([messages["chunk"], messages["part"], messages["block"], pa.array(list(decide(messages)), pa.binary())], schema=reply)
+            return pa.Table.from_arrays([messages["chunk"], messages["kind"], messages["block"], pa.array(list(decide(messages)), pa.binary())], schema=reply)
 
         return to_all
 
@@ -268,6 +287,6 @@ def dedup(docs: DataFrame, window: int = 13, chunks: int | None = None, text: bo
         return pa.Table.from_batches(out, result)
 
     by_chunk = dealt.groupBy("chunk")
-    sketch = by_chunk.applyInArrow(ask_sketch, _MESSAGE).groupBy("part", "block").applyInArrow(answer(merge_sketches), _REPLY)
-    exact = by_chunk.cogroup(sketch.groupBy("chunk")).applyInArrow(ask_exact, _MESSAGE).groupBy("part", "block").applyInArrow(answer(group_repeated), _REPLY)
+    sketch = by_chunk.applyInArrow(ask_sketch, _MESSAGE).groupBy("block").applyInArrow(answer(merge_sketches), _REPLY)
+    exact = by_chunk.cogroup(sketch.groupBy("chunk")).applyInArrow(ask_exact, _MESSAGE).groupBy("block").applyInArrow(answer(group_repeated), _REPLY)
     return by_chunk.cogroup(sketch.unionByName(exact).groupBy("chunk")).applyInArrow(finish, f"doc_id long, n_words long, n_removed long, kept_sha256 string{', kept string' * text}")
