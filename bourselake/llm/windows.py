@@ -86,20 +86,27 @@ def pack(sorted_cells: np.ndarray) -> bytes:
     head = gaps >> np.uint64(low)
     ones = np.zeros(int(head.sum()) + len(gaps), np.uint8)
     ones[(np.cumsum(head + np.uint64(1)) - np.uint64(1)).astype(np.int64)] = 1
-    bits = ((gaps[:, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+    width = _width(low)
+    fixed = (gaps & np.uint64((1 << low) - 1)).astype(f">u{width}").view(np.uint8).reshape(-1, width)
+    bits = np.unpackbits(fixed, axis=1)[:, 8 * width - low :]
     return bytes([low]) + np.packbits(bits).tobytes() + np.packbits(ones).tobytes()
 
 
+def _width(bits: int) -> int:
+    """Bytes of the smallest integer type of so many bits."""
+    return next(b for b in (1, 2, 4, 8) if 8 * b >= bits)
+
+
 def unpack(n: int, body: bytes) -> np.ndarray:
     low, raw = body[0], np.frombuffer(body, np.uint8, offset=1)
     cut = (n * low + 7) // 8
-    bits = np.unpackbits(raw[:cut], count=n * low).reshape(n, low).astype(np.uint64)
+    width = _width(low)
+    bits = np.zeros((n, 8 * width), np.uint8)
+    bits[:, 8 * width - low :] = np.unpackbits(raw[:cut], count=n * low).reshape(n, low)
+    fixed = np.packbits(bits, axis=1).view(f">u{width}").ravel().astype(np.uint64)
     ones = np.flatnonzero(np.unpackbits(raw[cut:]))[:n]
     gaps = np.diff(ones, prepend=-1).astype(np.uint64) - np.uint64(1)
-    gaps <<= np.uint64(low)
-    for k in range(low):
-        gaps += bits[:, k] << np.uint64(k)
-    return np.cumsum(gaps)
+    return np.cumsum((gaps << np.uint64(low)) + fixed)
 
 
 def cuts(values: np.ndarray, bits: int, blocks: int) -> np.ndarray:
@@ -115,7 +122,7 @@ def cells(w: Windows, part: int, plan: Plan) -> np.ndarray:
 def send_sketch(rows: pa.Table, plan: Plan) -> Iterator[tuple]:
     """One message per range of cells, with the cells of all sketch rows: how many, how many bytes, the packed cells."""
     w = chunk_windows(rows, plan.window)
-    own = [np.unique(cells(w, part, plan)) for part in range(DEPTH)]
+    own = [W.distinct(cells(w, part, plan)) for part in range(DEPTH)]
     at = [cuts(x, plan.bits, plan.blocks) for x in own]
     for b in range(plan.blocks):
         bodies = [(c[b + 1] - c[b], pack(x[c[b] : c[b + 1]]) if c[b + 1] > c[b] else b"") for x, c in zip(own, at, strict=True)]
@@ -139,7 +146,7 @@ def merge_sketches(messages: pa.Table) -> Iterator[bytes]:
     for part in range(DEPTH):
         every = np.concatenate([x[part] for x in sent])
         every.sort()
-        repeated.append(np.unique(every[1:][every[1:] == every[:-1]]))
+        repeated.append(W.distinct(every[1:][every[1:] == every[:-1]]))
     for own in sent:
         yield b"".join(np.packbits(_isin(x, r)).tobytes() for x, r in zip(own, repeated, strict=True))
 

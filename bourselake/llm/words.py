@@ -66,6 +66,14 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: in
     return mix(out + (ends - starts).astype(np.uint64) * np.uint64(_BASES[(base + 1) % 3]))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers; by sorting, which is many times faster than a hash table for large arrays."""
+    values = np.sort(values)
+    keep = np.ones(len(values), bool)
+    keep[1:] = values[1:] != values[:-1]
+    return values[keep]
+
+
 class Texts(NamedTuple):
     """A slice of rows: bytes of all texts, and for each row where it begins."""
 
