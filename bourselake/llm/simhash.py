@@ -127,10 +127,10 @@ class Tree:
     def __init__(self, radius: int):
         self.radius, self.root = radius, None
 
-    def near(self, number: int) -> list[int]:
-        """Places of the numbers within the radius."""
-        found, stack, r = [], [self.root] if self.root else [], self.radius
-        while stack:
+    def near(self, number: int, radius: int | None = None, enough: int | None = None) -> list[int]:
+        """Places of the numbers within the radius, or of the first `enough` of them."""
+        found, stack, r = [], [self.root] if self.root else [], self.radius if radius is None else radius
+        while stack and len(found) != enough:
             own, place, children = stack.pop()
             d = (own ^ number).bit_count()
             if d <= r:
@@ -155,7 +155,11 @@ class Tree:
 
 
 def forest(numbers: list[int], radius: int, spare: int = 0) -> list[tuple[int, int]]:
-    """Places of linked numbers: one link for each two groups that a number joins, and its `spare` nearest."""
+    """Places of linked numbers: one link for each two groups that a number joins, and its `spare` nearest.
+
+    With `spare`, a number that has so many neighbours within a sixth of the radius looks no further; its links to
+    others run over these. So a shard full of near copies costs about as many steps as it has members.
+    """
     links: list[tuple[int, int]] = []
     if len(numbers) < 2:
         return links
@@ -169,7 +173,9 @@ def forest(numbers: list[int], radius: int, spare: int = 0) -> list[tuple[int, i
 
     tree = Tree(radius)
     for i, number in enumerate(numbers):
-        near = tree.near(number)
+        near = tree.near(number, radius // 6, spare) if spare else []
+        if len(near) < max(spare, 1):
+            near = tree.near(number)
         if spare:
             near.sort(key=lambda j: (numbers[j] ^ number).bit_count())
         for k, j in enumerate(near):
@@ -213,13 +219,41 @@ def links(sharded: DataFrame, key: list[str], node: str, radius: int, spare: int
             yield out
 
     in_shards = sharded.select(*key, node, "fingerprint").repartition(*key).sortWithinPartitions(*key, "fingerprint", node)
-    return in_shards.mapInArrow(search, f"a {kind}, b {kind}").distinct()
+    found = in_shards.mapInArrow(search, f"a {kind}, b {kind}")
+    return found.distinct() if spare else found
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """Links with the same components: each partition links its nodes to the smallest they reach within it."""
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: dict = {}
+
+        def top(x):
+            while group.setdefault(x, x) != x:
+                group[x] = group[group[x]]
+                x = group[x]
+            return x
+
+        kind = None
+        for batch in batches:
+            kind = batch.schema.field("a").type
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                a, b = top(a), top(b)
+                group[max(a, b)] = min(a, b)
+        pairs = [(x, top(x)) for x in group]
+        for at in range(0, len(pairs), 50_000):
+            a, b = zip(*pairs[at : at + 50_000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
+
+    return edges.select("a", "b").mapInArrow(contract, f"a {dict(edges.dtypes)['a']}, b {dict(edges.dtypes)['a']}")
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, root) of every node with a link, root being the smallest node reachable: large-star and small-star rounds.
 
-    Each round is cut by a checkpoint, so that a lost executor costs a round at most.
+    Partitions are contracted first, which saves rounds. Each round is cut by a checkpoint, so that a lost executor
+    costs a round at most.
     """
 
     def to_smallest(pairs: DataFrame) -> DataFrame:
@@ -228,7 +262,7 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
 
     tidy = lambda pairs: checkpoint(pairs.where("a <> b").distinct())
     state = lambda pairs: tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    now = tidy(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    now = tidy(contracted(edges))
     seen = state(now)
     for _ in range(most_rounds):
         if not seen[0]:
@@ -236,7 +270,7 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # large star: each larger neighbour of a node is linked to the node's smallest
         large = both.join(to_smallest(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("root").alias("b"))
-        large = tidy(large)
+        large = checkpoint(large.where("a <> b"))
         # small star: a node and its smaller neighbours are linked to the smallest of them
         low = to_smallest(large)
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("root").alias("b")).unionByName(low.select("a", F.col("root").alias("b")))
