@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 #: Bytes of text that are worked on at a time; bounds the memory of a task, not what is read.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1_000_000
 
 _BYTES = np.arange(256)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
