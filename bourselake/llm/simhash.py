@@ -12,7 +12,8 @@ shuffle on the shard.
 
 `near_duplicates` is the pipeline's stage: five-word shingles and a Jaccard similarity of 0.8, where fingerprints
 differ in about ten bits. There the shards are min-hash bands, the trees are searched with a wider radius, and links
-are checked on the shingle sets.
+are checked on the shingle sets. Links that passed join texts to checked groups; then, in every band shard whose
+candidates the trees did not all link, each two candidates of different checked groups are tested.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas import types as T
 
 from . import words as W
 from .shared import checkpoint
@@ -157,8 +159,8 @@ class Tree:
 def forest(numbers: list[int], radius: int, spare: int = 0) -> list[tuple[int, int]]:
     """Places of linked numbers: one link for each two groups that a number joins, and its `spare` nearest.
 
-    With `spare`, a number that has so many neighbours within a sixth of the radius looks no further; its links to
-    others run over these. So a shard full of near copies costs about as many steps as it has members.
+    With `spare`, a number that has so many neighbours within a sixth of the radius looks no further, so a shard full
+    of near copies costs about as many steps as it has members. These links are then no forest of all candidates.
     """
     links: list[tuple[int, int]] = []
     if len(numbers) < 2:
@@ -188,39 +190,162 @@ def forest(numbers: list[int], radius: int, spare: int = 0) -> list[tuple[int, i
     return links
 
 
-def links(sharded: DataFrame, key: list[str], node: str, radius: int, spare: int = 0) -> DataFrame:
-    """Links (a, b) of nodes of one shard whose fingerprints are within the radius: a spanning forest of each shard,
-    and `spare` more per node where links are yet to be checked."""
+def by_shard(batches: Iterator[pa.RecordBatch], key: list[str], node: str) -> Iterator[tuple[list, list, list[int]]]:
+    """Key, nodes and fingerprints of each shard of two or more, of batches sorted by the key."""
+    shard, nodes, numbers = None, [], []
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in (*key, node)]
+        bits = batch.column("fingerprint").to_numpy().view(np.uint64).tolist()
+        for *at, n, number in zip(*columns, bits, strict=True):
+            if at != shard:
+                if len(nodes) > 1:
+                    yield shard, nodes, numbers
+                shard, nodes, numbers = at, [], []
+            nodes.append(n)
+            numbers.append(number)
+    if len(nodes) > 1:
+        yield shard, nodes, numbers
+
+
+def links(sharded: DataFrame, key: list[str], node: str, radius: int) -> DataFrame:
+    """Links (a, b) of nodes of one shard whose fingerprints are within the radius: a spanning forest of each shard."""
     kind = dict(sharded.dtypes)[node]
+    own = T.to_arrow_type(sharded.schema[node].dataType)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, nodes, numbers = None, [], []
+        for _, nodes, numbers in by_shard(batches, key, node):
+            if found := forest(numbers, radius):
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in a], own), pa.array([nodes[i] for i in b], own)], ["a", "b"])
+
+    in_shards = sharded.select(*key, node, "fingerprint").repartition(*key).sortWithinPartitions(*key, "fingerprint", node)
+    return in_shards.mapInArrow(search, f"a {kind}, b {kind}")
+
 
-        def linked() -> pa.RecordBatch | None:
-            found = forest(numbers, radius, spare)
+def first_links(sharded: DataFrame) -> DataFrame:
+    """Links (a, b) of each band shard that are tested first: a spanning forest and SPARE_LINKS more per node.
+
+    In a shard of up to SPARE_LINKS + 1 nodes these are all candidates. Of a larger one the members (node,
+    fingerprint) are returned too, with band and value and without b; `last_links` tests what is left there.
+    """
+    names = ["a", "b", "band", "value", "fingerprint"]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (band, value), nodes, numbers in by_shard(batches, ["band", "value"], "node"):
+            found = forest(numbers, WIDE_RADIUS, SPARE_LINKS)
             if found:
                 a, b = zip(*found, strict=True)
-                return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in a], own), pa.array([nodes[i] for i in b], own)], ["a", "b"])
-            return None
+                none = [pa.nulls(len(a), t) for t in (pa.int32(), pa.int64(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in a]), pa.array([nodes[i] for i in b]), *none], names)
+            if found and len(nodes) > SPARE_LINKS + 1:
+                n = len(nodes)
+                at = [pa.array(np.full(n, band, np.int32)), pa.array(np.full(n, value, np.int64)), pa.array(np.array(numbers, np.uint64).view(np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.nulls(n, pa.string()), *at], names)
+
+    in_shards = sharded.select("band", "value", "node", "fingerprint").repartition("band", "value").sortWithinPartitions("band", "value", "fingerprint", "node")
+    return in_shards.mapInArrow(search, "a string, b string, band int, value long, fingerprint long")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, of batches sorted by it."""
+    kept, last = [], None
+    for batch in batches:
+        at = list(zip(*[batch.column(c).to_pylist() for c in key], strict=True))
+        start = 0
+        for i in range(len(at) + 1):
+            if i < len(at) and at[i] == last:
+                continue
+            if i > start:
+                kept.append(batch.slice(start, i - start))
+            if i == len(at):
+                break
+            if kept:
+                yield pa.Table.from_batches(kept)
+            kept, last, start = [], at[i], i
+    if kept:
+        yield pa.Table.from_batches(kept)
+
+
+def _numbered(values: list) -> np.ndarray:
+    seen: dict = {}
+    return np.array([seen.setdefault(x, len(seen)) for x in values])
+
+
+def _apart(i: int, numbers: np.ndarray, label: np.ndarray, side: np.ndarray, across: bool) -> np.ndarray:
+    """Earlier members within the radius of member i and of another group, the nearest first."""
+    d = np.bitwise_count(numbers[:i] ^ numbers[i])
+    found = np.flatnonzero((d <= WIDE_RADIUS) & (label[:i] != label[i]) & (~across | (side[:i] != side[i])))
+    return found[np.argsort(d[found], kind="stable")]
+
+
+def tested(numbers: np.ndarray, label: np.ndarray, side: np.ndarray, across: bool, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links of similar members that join different groups, every candidate of another group being tested."""
+    label, out = label.copy(), []
+    size = np.array([len(x) for x in sets])
+    vocabulary, words = np.unique(np.concatenate(sets), return_inverse=True)
+    words = np.split(words, np.cumsum(size)[:-1])
+    marked = np.zeros(len(vocabulary), bool)
+    for i in range(1, len(sets)):
+        todo, step = _apart(i, numbers, label, side, across), 8
+        marked[words[i]] = True
+        while len(todo):
+            now, todo = todo[:step], todo[step:]
+            ends = np.cumsum(size[now])
+            sums = np.concatenate([[0], np.cumsum(marked[np.concatenate([words[j] for j in now])])])
+            common = sums[ends] - sums[ends - size[now]]
+            for j in now[common >= similarity * (size[now] + size[i] - common)].tolist():
+                if label[j] != label[i]:
+                    out.append((i, j))
+                    label[label == label[j]] = label[i]
+            todo, step = todo[label[todo] != label[i]], min(4 * step, 512)
+        marked[words[i]] = False
+    return out
 
-        own = None
-        for batch in batches:
-            own = batch.schema.field(node).type
-            columns = [batch.column(c).to_pylist() for c in (*key, node)]
-            bits = batch.column("fingerprint").to_numpy().view(np.uint64).tolist()
-            for *at, n, number in zip(*columns, bits, strict=True):
-                if at != shard:
-                    if len(nodes) > 1 and (out := linked()):
-                        yield out
-                    shard, nodes, numbers = at, [], []
-                nodes.append(n)
-                numbers.append(number)
-        if len(nodes) > 1 and (out := linked()):
-            yield out
 
-    in_shards = sharded.select(*key, node, "fingerprint").repartition(*key).sortWithinPartitions(*key, "fingerprint", node)
-    found = in_shards.mapInArrow(search, f"a {kind}, b {kind}")
-    return found.distinct() if spare else found
+def last_links(members: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) by which `members` (node, band, value, fingerprint) of different checked groups join.
+
+    A shard of more than PART_NODES members is dealt out by pairs of parts, so that each two members meet in a task.
+    The members that have a candidate of another group are found first; the shingle sets go only to these, and once
+    to those that are the same in several shards.
+    """
+    key = ["band", "value"]
+    grouped = members.join(roots, "node", "left").select(*key, "node", "fingerprint", F.coalesce("root", "node").alias("root"))
+    mixed = grouped.groupBy(*key).agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    parts = F.ceil(F.col("n") / PART_NODES).cast("int")
+    dealt = grouped.join(mixed.select(*key, parts.alias("parts")), key).withColumn("side", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select(*key, F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "node", "fingerprint", "root")
+    task, plain = [*key, "x", "y"], ["side", "node", "fingerprint", "root"]
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, task):
+            side, across = rows["side"].to_numpy(), rows["x"][0].as_py() != rows["y"][0].as_py()
+            numbers, label = rows["fingerprint"].to_numpy().view(np.uint64), _numbered(rows["root"].to_pylist())
+            open_ = np.zeros(len(side), bool)
+            for i in range(1, len(side)):
+                found = _apart(i, numbers, label, side, across)
+                open_[found] = True
+                open_[i] |= len(found) > 0
+            if open_.any():
+                rows = rows.select(plain).filter(pa.array(open_))
+                unit = xxhash.xxh128_hexdigest(repr((across, rows["node"].to_pylist(), rows["side"].to_pylist() if across else 0)).encode())
+                for batch in rows.combine_chunks().to_batches():
+                    yield pa.RecordBatch.from_arrays([pa.array([unit] * batch.num_rows), pa.array([across] * batch.num_rows), *batch.columns], ["unit", "across", *plain])
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, ["unit"]):
+            nodes, each = rows["node"].to_pylist(), rows["shingles"].combine_chunks()
+            each = each.combine_chunks() if isinstance(each, pa.ChunkedArray) else each
+            cuts = each.offsets.to_numpy()
+            sets = np.split(each.values.to_numpy()[cuts[0] : cuts[-1]], cuts[1:-1] - cuts[0])
+            found = tested(rows["fingerprint"].to_numpy().view(np.uint64), _numbered(rows["root"].to_pylist()), rows["side"].to_numpy(), rows["across"][0].as_py(), sets, similarity)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in found]), pa.array([nodes[j] for _, j in found])], ["a", "b"])
+
+    seen = dealt.repartition(*task).sortWithinPartitions(*task, "node").mapInArrow(look, "unit string, across boolean, side int, node string, fingerprint long, root string")
+    units = checkpoint(seen.dropDuplicates(["unit", "node"]))
+    return units.join(sets, "node").repartition("unit").sortWithinPartitions("unit", "node").mapInArrow(test, "a string, b string")
 
 
 def contracted(edges: DataFrame) -> DataFrame:
@@ -300,8 +425,9 @@ def groups(docs: DataFrame, shingle: int = 3, radius: int = RADIUS) -> DataFrame
     return prints.join(classes, "fingerprint").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-#: Of `near_duplicates`: min-hash bands and rows, radius of the tree search, links per node that are checked.
-BANDS, BAND_ROWS, WIDE_RADIUS, SPARE_LINKS = 16, 4, 24, 3
+#: Of `near_duplicates`: min-hash bands and rows, radius of the tree search, links per node that are checked first,
+#: and the members of a shard that one task takes of either part.
+BANDS, BAND_ROWS, WIDE_RADIUS, SPARE_LINKS, PART_NODES = 16, 4, 24, 3, 1_024
 MAX_BROADCAST_ROWS = 500_000
 _rng = np.random.default_rng(11)
 _MULTIPLIERS = _rng.integers(1 << 63, size=BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -361,15 +487,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     nodes = checkpoint(every.groupBy("node").agg(F.min(order).alias("first"), F.min("fingerprint").alias("fingerprint"), F.min("bands").alias("bands")))
     sharded = nodes.select("node", "fingerprint", F.posexplode("bands").alias("band", "value"))
-    found = checkpoint(links(sharded, ["band", "value"], "node", WIDE_RADIUS, SPARE_LINKS))
-    ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
+    seen = checkpoint(first_links(sharded))
+    found = checkpoint(seen.where("b is not null").select("a", "b").distinct())
+    members = seen.where("b is null").select(F.col("a").alias("node"), "band", "value", "fingerprint")
+    ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).unionByName(members.select("node")).distinct()
     sought = checkpoint(nodes.join(ends, "node", "left_semi").select("node", F.col("first.row").alias("row")))
     texts = docs.select(F.xxhash64("text").alias("row"), "text").join(small(sought.select("row").distinct(), sought.count()), "row", "left_semi")
     sets = checkpoint(shingle_sets(texts.dropDuplicates(["row"]), shingle).join(sought, "row").select("node", "shingles"))
     a, b = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    alike = found.join(a, "a").join(b, "b").where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+    alike = checkpoint(found.join(a, "a").join(b, "b").where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b"))
     roots = components(alike)
+    if not members.isEmpty():
+        more = checkpoint(last_links(members, roots, sets, similarity))
+        if not more.isEmpty():
+            roots = components(more.unionByName(alike))
     named = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     keep = named.groupBy("root").agg(F.min("first").alias("keep"))
     kept = named.join(keep, "root").select("node", "keep.doc_id", "keep.row").toDF("node", "keep_doc", "keep_row")

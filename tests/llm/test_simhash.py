@@ -83,3 +83,47 @@ def test_tree_finds_all_within_radius(numbers, radius):
     for i, x in enumerate(numbers):
         assert sorted(tree.near(x)) == [j for j in range(i) if (numbers[j] ^ x).bit_count() <= radius]
         tree.insert(x, i)
+
+
+def template_texts(rng, n):
+    """Shingle sets that share 240 of 300, all in one band shard, and one pair at 0.82 hidden among them."""
+    share = rng.sample(range(10**6), 240)
+    sets = [sorted(share + [10**6 + i * 100 + k for k in range(60)]) for i in range(n)]
+    sets[-1] = sorted(share + sets[0][240:270] + [10**9 + k for k in range(30)])
+    prints = []
+    for x in sets:
+        hashes = [xxhash.xxh64_intdigest(str(k).encode(), 42) for k in x]
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+    return sets, prints
+
+
+@pytest.mark.parametrize("part", [7, 1024])
+def test_true_pair_among_texts_of_a_template(spark, monkeypatch, part):
+    sets, prints = template_texts(random.Random(5), 150)
+    assert (prints[0] ^ prints[-1]).bit_count() <= O.WIDE_RADIUS
+    signed = [x - (x >> 63 << 64) for x in prints]
+    monkeypatch.setattr(O, "PART_NODES", part)
+    members = spark.createDataFrame([(f"{i:03d}", 0, 1, x) for i, x in enumerate(signed)], "node string, band int, value long, fingerprint long")
+    first = O.first_links(members)
+    assert first.where("b is null").count() == len(sets)
+    shingles = spark.createDataFrame([(f"{i:03d}", x) for i, x in enumerate(sets)], "node string, shingles array<int>")
+    none = spark.createDataFrame([], "node string, root string")
+    found = O.last_links(members, none, shingles, 0.8).distinct().collect()
+    assert [{r.a, r.b} for r in found] == [{"000", "149"}]
+
+
+def test_near_duplicates_tests_every_candidate_of_a_shard(spark, monkeypatch):
+    """With one band, all texts of a template share a shard or none; the groups are those of all pairs in the radius."""
+    rng = random.Random(3)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    share = words(240)
+    texts = [share + words(60) for _ in range(60)]
+    texts += [t[:270] + words(20) + t[290:] for t in texts[:20]]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    monkeypatch.setattr(O, "band_keys", lambda hashes, each: O.np.tile(O.np.arange(O.BANDS, dtype=O.np.uint64), (len(each), 1)))
+    out = {r.doc_id: r.keep_doc for r in O.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    prints = [plain_print(t, 5) for _, t in docs]
+    alike = [(i, j) for i in range(len(sets)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= O.WIDE_RADIUS and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(alike) >= 15
+    assert [out[i] for i in range(len(docs))] == plain_components(alike, len(docs))
