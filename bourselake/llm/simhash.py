@@ -449,13 +449,23 @@ def band_keys(hashes: np.ndarray, each: np.ndarray) -> np.ndarray:
     return out
 
 
+def distinct_hashes(hashes: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of each row, and how many each row has."""
+    sets = [np.unique(x) for x in np.split(hashes, np.cumsum(each)[:-1])]
+    return np.concatenate([hashes[:0], *sets]), np.array([len(x) for x in sets], np.int64)
+
+
 def traits(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, row (hash of the text), node (hash of the lower-cased word sequence), fingerprint and band keys."""
+    """doc_id, row (hash of the text), node (hash of the lower-cased word sequence), fingerprint and band keys.
+
+    The fingerprint is that of the distinct shingles, as the Jaccard similarity is: a line that is repeated in one
+    text only moves no bit.
+    """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches, "text"):
             w = W.texts(batch.column("text")).words(W.NOT_SPACE, lower=True)
-            hashes, each = shingle_hashes(w, shingle)
+            hashes, each = distinct_hashes(*shingle_hashes(w, shingle))
             a, b = (W.span_hash(w.hashes(i), w.rows[:-1], w.rows[1:], i) for i in (0, 1))
             nodes = pa.array([f"{x:016x}{y:016x}" for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.string())
             bands = pa.FixedSizeListArray.from_arrays(pa.array(band_keys(hashes, each).ravel().view(np.int64)), BANDS).cast(pa.list_(pa.int64()))
