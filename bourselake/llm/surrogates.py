@@ -41,7 +41,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _END = r"(?![\p{L}\p{N}])"
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+(?<!-)",
-    "secret": rf"(?:(?=[a-f]*\d)[0-9a-f]{{32,128}}|(?=[A-F]*\d)[0-9A-F]{{32,128}}|AKIA(?=[A-Z]*\d)[0-9A-Z]{{16}}|gh[pousr]_(?=[A-Za-z]*\d)[A-Za-z0-9]{{20,255}}|sk-(?=[A-Za-z]*\d)[A-Za-z0-9]{{20,128}})(?!_){_END}",
+    "secret": rf"(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}|AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{20,255}}|sk-[A-Za-z0-9]{{20,128}})(?!_){_END}",
     "iban": rf"[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_END}",
     "ip": rf"(?<!\.)(?:{_OCTET}\.){{3}}{_OCTET}(?!\.\d){_END}",
     "phone": rf"(?:\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:[ .-]?\d{{2,4}}){{1,4}}|(?<![+.-])(?:\(\d{{3}}\) ?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}){_END}",
@@ -52,8 +52,8 @@ PATTERNS = {
 _any = lambda *kinds: "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
 #: An entity begins where no letter or digit stands before; then its first character decides what it can be.
 ENTITY = rf"(?<![\p{{L}}\p{{N}}])(?:(?=\p{{L}})(?:{_any('email', 'secret', 'iban', 'name')})|(?=[\d+(])(?:{_any('email', 'secret', 'ip', 'phone', 'card', 'ssn')}))"
-#: Every entity has a digit, an @ or a title: texts without any are not searched further.
-SIGN = rf"[\d@]|(?=[DFHMPS])(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})[. ]"
+#: Every entity has a digit, an @, a title, the start of a key or 32 hex letters: texts without any are not searched further.
+SIGN = rf"[\d@]|AKIA|gh[pousr]_|sk-|[a-f]{{32}}|[A-F]{{32}}|(?=[DFHMPS])(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})[. ]"
 
 
 def digits_of(c: Column) -> Column:
