@@ -2,10 +2,12 @@
 
 Lines that begin with ``>`` marks are quoted, their number is the quote level; a passage is a run of quoted lines of
 one level. Lines are normalised (marks off, white space collapsed, lower case) and hashed. The lines that are quoted
-anywhere in a conversation meet the same lines of earlier messages in one sorted pass per (conversation, line): the
-latest earlier message that holds the line as its own. A passage belongs to the message that holds most of its
-lines, the latest of equals. Nothing is paired: each quoted line takes one message, and messages whose lines nobody
-quotes drop out before that.
+anywhere in a conversation meet the same lines of earlier messages in one sorted pass per (conversation, line), which
+gives the latest earlier message that holds the line as its own, and how many do. A passage belongs to the message
+that holds most of its lines, the latest of equals. Where one message is the latest holder of all lines that any
+holds, it is that one. For other passages the votes of the latest holders are a least count, so the winner holds one
+of the rarest lines that together exceed what it may miss: the holders of these are the candidates, and all lines of
+the passage are counted for each. Messages whose lines nobody quotes drop out before that.
 
 Replies follow what they answer: a message whose first passage is linked goes to the thread of the linked message,
 others begin one; (thread, turn) is the order of the conversation. Threads are found by pointer doubling, a
@@ -57,20 +59,43 @@ def quoted_lines(parsed: DataFrame) -> DataFrame:
     return found.where("line <> ''").select("conv_id", "turn", "at", "passage", "level", F.xxhash64("line").alias("line"))
 
 
+def counted(best: DataFrame, found: DataFrame, own: DataFrame) -> DataFrame:
+    """`best` (n, source) of each passage by all earlier holders of its lines; given are the votes of the latest ones.
+
+    `found` has the lines of the passages (line, weight, holders), `own` the messages (turn) that hold each line.
+    """
+    key = ["conv_id", "turn", "passage"]
+    unsure = checkpoint(best.where("matched > best.n").select(*key, (F.col("matched") - F.col("best.n")).alias("spare")))
+    if unsure.isEmpty():
+        return best.select(*key, "best")
+    each = found.join(unsure, key).select(*key, "line", "weight", "holders", "spare")
+    rarer = Window.partitionBy(*key).orderBy("holders", "line").rowsBetween(Window.unboundedPreceding, -1)
+    rare = each.withColumn("before", F.coalesce(F.sum("weight").over(rarer), F.lit(0))).where("before <= spare")
+    holds = own.select("conv_id", "line", F.col("turn").alias("source"))
+    candidates = rare.join(holds, ["conv_id", "line"]).where("source < turn").select(*key, "source").distinct()
+    votes = candidates.join(each, key).join(holds, ["conv_id", "line", "source"]).groupBy(*key, "source").agg(F.sum("weight").alias("n"))
+    sure = votes.groupBy(*key).agg(F.max(F.struct("n", "source")).alias("best"))
+    return best.join(unsure, key, "left_anti").select(*key, "best").unionByName(sure)
+
+
 def links(parsed: DataFrame) -> DataFrame:
     """conv_id, turn, passage, level, passage_hash, n_lines, n_matched, linked_turn (null: no original) of each passage."""
+    key = ["conv_id", "turn", "passage"]
     asked = checkpoint(quoted_lines(parsed))
     sought = asked.select("conv_id", "line").distinct()
     own = parsed.where("conv_id is not null and turn is not null").join(asked.select("conv_id").distinct(), "conv_id", "left_semi")
     own = own.select("conv_id", "turn", F.explode(F.filter("lines", lambda x: x["own"])).alias("x")).withColumn("line", F.xxhash64(normal(F.col("x.body")))).select("conv_id", "line", "turn").distinct()
-    own = own.join(sought, ["conv_id", "line"], "left_semi")
+    own = checkpoint(own.join(sought, ["conv_id", "line"], "left_semi"))
     both = own.select("conv_id", "line", "turn", F.lit(None).cast("int").alias("at"), F.lit(None).cast("long").alias("passage")).unionByName(asked.select("conv_id", "line", "turn", "at", "passage"))
     earlier = Window.partitionBy("conv_id", "line").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    found = both.withColumn("source", F.max(F.when(F.col("passage").isNull(), F.col("turn"))).over(earlier)).where("passage is not null").select("conv_id", "turn", "at", "passage", "source")
-    votes = found.where("source is not null").groupBy("conv_id", "turn", "passage", "source").agg(F.count("*").alias("n"))
-    best = votes.groupBy("conv_id", "turn", "passage").agg(F.max(F.struct("n", "source")).alias("best"))
+    holder = F.when(F.col("passage").isNull(), F.col("turn"))
+    found = both.withColumns({"source": F.max(holder).over(earlier), "holders": F.count(holder).over(earlier)}).where("passage is not null and source is not null")
+    found = checkpoint(found.groupBy(*key, "line", "source", "holders").agg(F.count("*").alias("weight")))
+    votes = found.groupBy(*key, "source").agg(F.sum("weight").alias("n"))
+    best = votes.groupBy(*key).agg(F.max(F.struct("n", "source")).alias("best"), F.sum("n").alias("matched"))
+    best = counted(checkpoint(best), found, own)
     passages = asked.groupBy("conv_id", "turn", "passage", "level").agg(F.count("*").alias("n_lines"), F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"])).alias("passage_hash"))
-    out = passages.join(best, ["conv_id", "turn", "passage"], "left")
+    out = passages.join(best, key, "left")
     return out.select("conv_id", "turn", "passage", "level", "passage_hash", "n_lines", F.coalesce("best.n", F.lit(0).cast("long")).alias("n_matched"), F.col("best.source").alias("linked_turn"))
 
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 from bourselake.llm import quotes as O
@@ -99,3 +100,23 @@ def test_odd_rows(spark):
     assert len(out) == len(odd) and not any(r.n_linked for r in out)
     assert {r.levels for r in out if r.turn == 4} == {90}
     assert O.conversations(df.limit(0)).collect() == []
+
+
+def test_all_holders_of_a_line_are_counted(spark):
+    rng = random.Random(4)
+    messages = [(0, 1, "u", "Hello all\nThe build fails\nRegards"), (0, 2, "u", "Hello all\nFixed\nRegards"), (0, 3, "u", "> Hello all\n> The build fails\n> Regards")]
+    for c in range(1, 30):
+        for t in range(12):
+            own = [f"line {rng.randrange(7)}" for _ in range(rng.randrange(1, 5))]
+            quoted = [f"> line {rng.randrange(8)}" for _ in range(rng.randrange(5))]
+            messages.append((c, t, "u", "\n".join(quoted + own)))
+    held = {(c, t): {x for x in text.lower().split("\n") if x[0] != ">"} for c, t, _, text in messages}
+    want = {}
+    for c, t, _, text in messages:
+        asked = [x[2:].lower() for x in text.split("\n") if x[0] == ">"]
+        votes = [(sum(x in held[c, s] for x in asked), s) for s in range(t) if (c, s) in held]
+        if asked:
+            n, s = max(votes, default=(0, None))
+            want[c, t] = (n, s if n else None)
+    got = {(r.conv_id, r.turn): (r.n_matched, r.linked_turn) for r in O.links(O.parse(spark.createDataFrame(messages, SCHEMA))).collect()}
+    assert want[0, 3] == (3, 1) and got == want
