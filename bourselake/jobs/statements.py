@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.statements import is_financial_report, statement_cells, statement_items, with_headers
+from ..operators.statements import is_financial_report, statement_cells, statement_items
 from ..sources.pages import parse_pages
-from ..sources.tables import checkpoint
 
 
 def facts(pages: DataFrame, listed: DataFrame, key: str = "disclosure_index") -> DataFrame:
-    """pages: key and html; listed: key and disclosure_class."""
+    """pages: key and html; listed: key and disclosure_class. Only reports are parsed."""
     reports = pages.join(listed.select(key, "disclosure_class"), key).where(is_financial_report(F.col("disclosure_class"), F.col("html")))
-    parsed = checkpoint(parse_pages(reports.select(key, "html"), key=key))
-    return with_headers(statement_items(statement_cells(parsed, key), key), parsed, key)
+    return statement_items(statement_cells(parse_pages(reports.select(key, "html"), key=key), key), key)

@@ -61,8 +61,8 @@ RECORD = T.StructType(
 
 #: What the page helper makes of one page (see sources.pages).
 LINK = _struct(pos=_I, url=_S, file_name=_S)
-NODE = _struct(pos=_I, kind=_S, text=_S, value=_S, rows=ROWS)
-TAG_ROW = _struct(pos=_I, concept=_S, label=_S, cells=T.ArrayType(_S))
+#: An element that a selector marks: where it is, its texts and those beside it, and where it stands.
+NODE = _struct(pos=_I, marks=T.ArrayType(_S), css=_S, in_area=_B, text=_S, lines=_S, beside=_S, rows=ROWS, in_cell=_B, row_cells=_I, in_grid=_B, row=_I, within=T.ArrayType(_I))
 HEADER = _struct(pos=_I, title=_S, value=_S)
 CELL = _struct(table_no=_I, title=_S, row_pos=_I, cell_pos=_I, kind=_S, css=_S, text=_S, text_tr=_S)
-PAGE = _struct(links=T.ArrayType(LINK), has_area=_B, is_tagged=_B, text=_S, nodes=T.ArrayType(NODE), tag_rows=T.ArrayType(TAG_ROW), headers=T.ArrayType(HEADER), cells=T.ArrayType(CELL))
+PAGE = _struct(links=T.ArrayType(LINK), has_area=_B, is_tagged=_B, has_reports=_B, text=_S, nodes=T.ArrayType(NODE), headers=T.ArrayType(HEADER), cells=T.ArrayType(CELL))
