@@ -1,13 +1,17 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
-Each task sorts the suffixes of its shard of documents (slices of `words.SLICE_BYTES`), binary-searches the
-suffixes of the benchmark items in it, and reads off every verbatim match: its place, its length and its item.
-Documents are neither shuffled nor joined; the benchmark is sent out in blocks of at most `BLOCK_BYTES`, each
-block in a narrow pass of its own, so that no broadcast grows with the benchmark.
-
-Defined cases: a null or empty text has no words and no match; a null item_id counts as an empty string; rows
-that repeat a doc_id are judged row by row; an empty benchmark matches nothing; other columns are kept.
-Words are compared by 64-bit hashes.
+Each task sorts the suffixes of its shard of documents (slices of `words.SLICE_BYTES`) and binary-searches every suffix
+of the benchmark items in it. Suffixes that share their first `window` words with an item's are the matches' places;
+each is followed to its end, which gives the longest verbatim matches: where they begin in the document and in the item,
+and how long they are. Documents are neither shuffled nor joined for that.
+
+The benchmark goes out in blocks of about `BLOCK_BYTES` of text, dealt by the items' hash: the driver and the tasks
+hold one block at a time (24 bytes per word of it), and each further block is a pass over the documents that returns
+matches only.
+
+Defined cases: a null or empty text has no words and no match; a null item_id counts as an empty string; rows that
+repeat a doc_id are judged by their own text; an empty benchmark matches nothing; of very long texts each is a shard of
+its own; other columns are kept. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -19,61 +23,58 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import words as W
+from .shared import checkpoint
 
-#: Bytes of benchmark text in one broadcast.
+#: Bytes of benchmark text in one broadcast, about.
 BLOCK_BYTES = 8 << 20
+#: Keys of documents with a match are broadcast up to so many (counted first), else joined by shuffle.
+MAX_BROADCAST_ROWS = 500_000
 
-FOUND = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("matches", T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "length")]))),
-        T.StructField("items", T.ArrayType(T.StringType())),
-    ]
-)
-_MATCHES = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
+MATCHES = "array<struct<start:int,length:int,item_id:string,item_start:int>>"
+_MATCHES = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("item_id", pa.string()), ("item_start", pa.int32())]))
 
 
 class Suffixes(NamedTuple):
-    """Suffixes of benchmark items that are searched: by length, the word hashes of each window, and the items it is in."""
+    """The items' words, and their suffixes that are searched.
+
+    groups: for each length (the window; for shorter items that of the whole item) the place of one suffix of each
+    distinct beginning, and all places with that beginning, those of beginning k at owners[cuts[k]:cuts[k + 1]].
+    """
 
-    windows: dict[int, tuple[np.ndarray, list[np.ndarray]]]
     ids: list[str]
+    hashes: np.ndarray
+    item: np.ndarray  # of each word
+    begin: np.ndarray  # of each word, where its item begins and ends
+    end: np.ndarray
+    groups: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def suffixes(items: list[tuple[str, str]], window: int) -> Suffixes:
-    """The first `window` words of each item suffix that has as many; a shorter item as a whole. Equal ones once."""
-    ids = [i for i, _ in items]
     w = W.texts(pa.array([t for _, t in items], pa.string())).words(W.ALNUM, lower=True)
     hashes, n = w.hashes(), w.counts()
-    out = {}
+    groups = []
     for length in sorted({int(x) for x in np.minimum(n, window)} - {0}):
-        at, item = [], []
-        for i in np.flatnonzero(np.minimum(n, window) == length):
-            places = np.arange(w.rows[i], w.rows[i] + n[i] - length + 1)
-            at.append(places)
-            item.append(np.full(len(places), i))
-        rows, which = np.unique(hashes[np.concatenate(at)[:, None] + np.arange(length)], axis=0, return_inverse=True)
-        order = np.lexsort((np.concatenate(item), which))
-        owners = np.split(np.concatenate(item)[order], np.flatnonzero(np.diff(which[order])) + 1)
-        out[length] = rows, [np.unique(x) for x in owners]
-    return Suffixes(out, ids)
+        of = np.flatnonzero(np.minimum(n, window) == length)
+        at = np.concatenate([np.arange(w.rows[i], w.rows[i] + n[i] - length + 1) for i in of])
+        # equal beginnings by their hash, which covers the same words as the search does
+        kind = W.span_hash(hashes, at, at + length, 1)
+        order = np.argsort(kind, kind="stable")
+        cuts = np.append(np.flatnonzero(np.diff(kind[order], prepend=~kind[order][:1])), len(at))
+        groups.append((length, at[order][cuts[:-1]], at[order], cuts))
+    item = np.repeat(np.arange(len(n)), n)
+    return Suffixes([i for i, _ in items], hashes, item, w.rows[:-1][item], w.rows[1:][item], groups)
 
 
 def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
-    """Items in blocks of bounded text; the driver holds one partition and one block at a time."""
-    block, size = [], 0
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit("")))
-    for item, text in rows.toLocalIterator():
-        block.append((item, text))
-        size += len(text) + 16
-        if size >= most:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+    """Items (id, text) in blocks of about `most` bytes, dealt by hash; one block at a time is on the driver."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    n = -(-size // most)
+    for k in range(n):
+        chosen = items if n == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
+        yield [(r["id"], r["text"]) for r in chosen.toLocalIterator()]
 
 
 def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -129,115 +130,126 @@ def find(tokens: np.ndarray, order: np.ndarray, sought: np.ndarray) -> tuple[np.
     return ends[0], ends[1]
 
 
-def shard_matches(text: pa.Array, sought: Suffixes, window: int) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]]]:
-    """Of each row: number of words, maximal runs of words in matches (start, length), sorted item ids."""
+def shard_matches(text: pa.Array, sought: Suffixes, window: int) -> tuple[np.ndarray, list[list[tuple[int, int, str, int]]]]:
+    """Of each row: number of words, and its maximal verbatim matches (start, length, item id, start in the item), sorted."""
     w = W.texts(text).words(W.ALNUM, lower=True)
     rows, counts = len(text), w.counts()
-    runs: list[list[tuple[int, int]]] = [[] for _ in range(rows)]
-    items: list[list[str]] = [[] for _ in range(rows)]
-    if not len(w.starts) or not sought.windows:
-        return counts, runs, items
+    matches: list[list[tuple[int, int, str, int]]] = [[] for _ in range(rows)]
+    if not len(w.starts) or not len(sought.hashes):
+        return counts, matches
     known, ids = np.unique(w.hashes(), return_inverse=True)
-    row_of = w.row_of()
     tokens = np.zeros(len(ids) + rows, np.int64)  # a 0 after each document: no match runs over its end
-    place = np.arange(len(ids)) + row_of
-    tokens[place] = ids + 1
-    order = None
-    found_at, found_len, pairs = [], [], []
-    for length, (hashes, owners) in sought.windows.items():
-        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        there = np.flatnonzero((known[at] == hashes).all(axis=1))  # a word that the shard lacks can't be matched
+    tokens[np.arange(len(ids)) + w.row_of()] = ids + 1
+    at = np.minimum(np.searchsorted(known, sought.hashes), len(known) - 1)
+    item_tokens = np.where(known[at] == sought.hashes, at + 1, -1)  # a word that the shard lacks can't be matched
+    lacks = np.concatenate([[0], np.cumsum(item_tokens < 0)])
+    order, found = None, []
+    for length, first, owners, cuts in sought.groups:
+        there = np.flatnonzero(lacks[first + length] == lacks[first])
         if not len(there):
             continue
         if order is None:
             order = suffix_array(tokens, window)
-        low, high = find(tokens, order, at[there] + 1)
+        low, high = find(tokens, order, item_tokens[first[there][:, None] + np.arange(length)])
         for k in np.flatnonzero(high > low):
             where = order[low[k] : high[k]]
-            found_at.append(where)
-            found_len.append(np.full(len(where), length))
-            docs = np.unique(np.searchsorted(place, where))
-            pairs.append((row_of[docs], owners[there[k]]))
-    if not found_at:
-        return counts, runs, items
-    cover = np.zeros(len(tokens) + 1, np.int32)
-    np.add.at(cover, np.concatenate(found_at), 1)
-    np.add.at(cover, np.concatenate(found_at) + np.concatenate(found_len), -1)
-    hit = np.cumsum(cover[:-1]) > 0
-    edge = np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))
-    begins, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    for a, b in zip(np.searchsorted(place, begins), stops - begins, strict=True):
-        runs[row_of[a]].append((int(a - w.rows[row_of[a]]), int(b)))
-    sets: dict[int, set[int]] = {}
-    for docs, owner in pairs:
-        for r in set(docs.tolist()):
-            sets.setdefault(r, set()).update(owner.tolist())
-    for r, own in sets.items():
-        items[r] = sorted({sought.ids[i] for i in own})
-    return counts, runs, items
-
-
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", into: str = "found", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Adds the struct `into` (see FOUND): the row's words, its maximal runs of matched words, the items matched.
-
-    An item matches where `window` consecutive words of it (all words, if it has fewer) stand in the text.
-    """
-    schema = T.StructType([*docs.schema.fields, T.StructField(into, FOUND)])
-    out = docs
-    for block in [*blocks(benchmark, block_bytes)] or [[]]:
-        sent = docs.sparkSession.sparkContext.broadcast(suffixes(block, window))
-        out = out.mapInArrow(_searcher(sent, window, text, into), schema)
-    return out
-
+            for o in owners[cuts[there[k]] : cuts[there[k] + 1]].tolist():
+                # a match that could begin a word earlier is part of a longer one
+                own = where if o == sought.begin[o] else where[tokens[where - 1] != item_tokens[o - 1]]
+                if len(own):
+                    found.append((own, np.full(len(own), o), np.full(len(own), length)))
+    if not found:
+        return counts, matches
+    p, o, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    open_ = np.arange(len(p))
+    while len(open_ := open_[o[open_] + n[open_] < sought.end[o[open_]]]):
+        open_ = open_[tokens[p[open_] + n[open_]] == item_tokens[o[open_] + n[open_]]]
+        n[open_] += 1
+    row = np.searchsorted(np.flatnonzero(tokens == 0), p)
+    begin = p - row - w.rows[row]
+    for r, a, size, i, b in zip(row.tolist(), begin.tolist(), n.tolist(), sought.item[o].tolist(), (o - sought.begin[o]).tolist(), strict=True):
+        matches[r].append((a, size, sought.ids[i], b))
+    return counts, [sorted(set(m)) for m in matches]
+
+
+def scan(docs: DataFrame, sent, window: int, every: bool) -> DataFrame:
+    """doc_id, row (hash of the text), n_words, matches of the documents (all of them, or those with a match) in one block."""
 
-def _searcher(sent, window: int, text: str, into: str):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.slices(batches, text):
-            counts, runs, items = shard_matches(batch.column(text), sent.value, window)
-            if into in batch.schema.names:  # of the blocks before
-                old = batch.column(into).to_pylist()
-                runs = [_union([(m["start"], m["length"]) for m in o["matches"]] + r) for o, r in zip(old, runs, strict=True)]
-                items = [sorted({*o["items"], *i}) for o, i in zip(old, items, strict=True)]
-                batch = batch.drop_columns([into])
-            spans = pa.array([[{"start": a, "length": n} for a, n in r] for r in runs], _MATCHES)
-            found = pa.StructArray.from_arrays([pa.array(counts, pa.int64()), spans, pa.array(items, pa.list_(pa.string()))], ["n_words", "matches", "items"])
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, into])
+        for batch in W.slices(batches, "text"):
+            counts, found = shard_matches(batch.column("text"), sent.value, window)
+            keep = np.arange(len(found)) if every else np.array([i for i, m in enumerate(found) if m], np.int64)
+            spans = pa.array([[dict(zip(("start", "length", "item_id", "item_start"), m, strict=True)) for m in found[i]] for i in keep.tolist()], _MATCHES)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(keep)), batch.column("row").take(pa.array(keep)), pa.array(counts[keep], pa.int64()), spans], ["doc_id", "row", "n_words", "matches"])
 
-    return search
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    return rows.mapInArrow(search, f"doc_id {dict(docs.dtypes)['doc_id']}, row long, n_words long, matches {MATCHES}")
 
 
-def _union(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, n in sorted(runs):
-        if out and a <= out[-1][0] + out[-1][1]:
-            out[-1] = out[-1][0], max(out[-1][1], a + n - out[-1][0])
-        else:
-            out.append((a, n))
-    return out
+def matched(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES, every: bool = True) -> DataFrame:
+    """doc_id, row, n_words and `matches`, the longest verbatim matches, of all documents, or of those with a match.
 
-
-def hit_words(found: str) -> Column:
-    """Number of words in the matches."""
-    return F.aggregate(f"{found}.matches", F.lit(0).cast("long"), lambda a, m: a + m["length"])
+    An item matches where `window` consecutive words of it (all words, if it has fewer) stand in the text.
+    """
+    context = docs.sparkSession.sparkContext
+    first, more = None, None
+    for block in blocks(benchmark, block_bytes):
+        sent = context.broadcast(suffixes(block, window))
+        if first is None:
+            first = scan(docs, sent, window, every)
+        else:  # cut, so that a block is let go before the next one goes out
+            found = checkpoint(scan(docs, sent, window, False))
+            sent.destroy()
+            more = found if more is None else more.unionByName(found)
+    if first is None:
+        return scan(docs, context.broadcast(suffixes([], window)), window, every)
+    if more is None:
+        return first
+    name = {"doc_id": "_doc", "row": "_row"}
+    more = checkpoint(more.groupBy("doc_id", "row").agg(F.max("n_words").alias("_n"), F.flatten(F.collect_set("matches")).alias("_more")).withColumnsRenamed(name))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_row"))
+    joined = first.join(few(more, more.count()), same, "left" if every else "full")
+    both = F.array_sort(F.array_distinct(F.concat(F.coalesce("matches", F.array().cast(MATCHES)), F.coalesce("_more", F.array().cast(MATCHES)))))
+    return joined.select(*[F.coalesce(a, b).alias(a) for a, b in (("doc_id", "_doc"), ("row", "_row"), ("n_words", "_n"))], both.alias("matches"))
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+
+
+def hit_words(matches: str) -> Column:
+    """Number of words in any of the matches, which are sorted by their start."""
+    begin = F.struct(F.lit(0).alias("upto"), F.lit(0).cast("long").alias("n"))
+    last = lambda m: m["start"] + m["length"]
+    step = lambda s, m: F.struct(F.greatest(s["upto"], last(m)).alias("upto"), (s["n"] + F.greatest(F.lit(0), last(m) - F.greatest(s["upto"], m["start"]))).alias("n"))
+    return F.aggregate(matches, begin, step)["n"]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_run."""
-    found = scan(docs.select("doc_id", "text"), benchmark, window)
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and of its longest match (the first
+    in the document, then in item order) longest_match (words), longest_start (its first word, from 0), longest_item."""
+    found = matched(docs.select("doc_id", "text"), benchmark, window)
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
+    longest = F.get(F.array_sort(F.transform("matches", lambda m: F.struct((-m["length"]).alias("n"), m["start"].alias("start"), m["item_id"].alias("item")))), 0)
+    found = found.withColumns({"_items": items, "_longest": longest})
     return found.select(
         "doc_id",
-        F.col("found.n_words").alias("n_words"),
-        hit_words("found").alias("n_hit"),
-        F.size("found.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
-        (F.size("found.matches") > 0).alias("contaminated"),
-        F.aggregate("found.matches", F.lit(0), lambda a, m: F.greatest(a, m["length"])).cast("long").alias("longest_run"),
+        "n_words",
+        hit_words("matches").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
+        (F.size("matches") > 0).alias("contaminated"),
+        F.coalesce(-F.col("_longest.n"), F.lit(0)).cast("long").alias("longest_match"),
+        F.col("_longest.start").cast("long").alias("longest_start"),
+        F.col("_longest.item").alias("longest_item"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents, all columns as they are, without those that hold a benchmark window."""
-    name = "_found"
-    while name in docs.columns:
-        name += "_"
-    return scan(docs, benchmark, window, into=name).where(F.size(f"{name}.matches") == 0).drop(name)
+    """The documents, all columns as they are, without those that hold a benchmark window.
+
+    Only doc_id and text pass through the search; the keys of the documents with a match come back.
+    """
+    hits = checkpoint(matched(docs.select("doc_id", "text"), benchmark, window, every=False).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct())
+    same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_row"))
+    return docs.join(few(hits, hits.count()), same, "left_anti")

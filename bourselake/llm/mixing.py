@@ -1,18 +1,20 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 The words of a mix are shared over the sources by weight; no source exceeds `max_repeat` times its words, and
-what it can't take is shared again by weight. Within a source each document has the same expected number of
-copies f = target / words. floor(f) copies of all its documents are certain; the rest is drawn by Pareto order
-sampling: documents are ranked by the odds u / (1 - u) of a keyed uniform number over the odds p / (1 - p) of
-their inclusion probability, and the head of that order, as many documents as bring the source nearest to its
-target, gets one copy more.
-
-A source of any size is ranked without a window over it: ranks fall into buckets of about `BUCKET_ROWS`
-documents, bucket sums (partial sums before the shuffle) give the bucket in which the target is met, and only
-that bucket is ordered.
-
-Defined cases: a null or empty text has size 0 and is taken 0 words; a null source is a source of its own, last
-in order; rows that repeat a doc_id are ranked by their text's hash; an empty table gives an empty mix.
+what it can't take is shared again by weight. Within a source a document's expected number of copies is in proportion
+to its favour, `max_repeat` at most; what documents at that limit can't take is shared again within the source. The
+whole copies of the expected number are certain; the rest is drawn by Pareto order sampling: documents are ranked by the
+odds u / (1 - u) of a keyed uniform number over the odds p / (1 - p) of their inclusion probability, and the head of that
+order, as many documents as bring the source nearest to its target, gets one copy more.
+
+A source of any size is ranked without a window over it: ranks fall into buckets of about `BUCKET_ROWS` documents, bucket
+sums (partial sums before the shuffle) give the bucket in which the target is met, and only that bucket is ordered. What
+comes of it is one row per source, with the last rank that is taken; every document then decides by its own columns, so
+texts are not shuffled.
+
+Defined cases: a null or empty text has size 0 and is taken 0 words; a very long text is counted whole; a null source is
+a source of its own, last in order; rows that repeat doc_id and text are taken alike; a favour that is null or not above
+0 counts as 1; an empty table gives an empty mix; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import checkpoint
+from .shared import checkpoint, free_name
 
 #: Documents in a bucket of ranks, about.
 BUCKET_ROWS = 2_000
@@ -60,54 +62,112 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     return levels.withColumn("target", F.least(F.coalesce(F.col("weight") * first["level"], F.col("room")), F.col("room"))).drop("room", "level", "turn", "open")
 
 
+def rounded(favour: Column) -> Column:
+    """Cut to four binary digits, so that a source has a bounded number of different favours; integers to 16 stay."""
+    valid = F.when((favour > 0) & (favour < float("inf")), favour).otherwise(1.0)
+    step = F.pow(F.lit(2.0), F.floor(F.log2(valid)) - 3)
+    return F.greatest(F.floor(valid / step) * step, F.lit(1e-300))
+
+
+def measured(docs: DataFrame, seed: int, size: Column | None, favour: Column | None) -> dict[str, Column]:
+    """What a document's own columns say of it."""
+    own = F.lit(1.0) if favour is None else F.coalesce(favour.cast("double"), F.lit(1.0))
+    return {"size": word_count(F.col("text")) if size is None else size, "favour": rounded(own), "u": uniform(seed, "doc_id"), "tie": F.xxhash64("text")}
+
+
+def levels(sized: DataFrame, weights: tuple[float, ...], share: float, max_repeat: float) -> DataFrame:
+    """Per source: of, source_size, target, n, level (copies are level * favour), sure_words, mean_p."""
+    kinds = checkpoint(sized.groupBy("source", "favour").agg(F.sum("size").alias("size"), F.count("*").alias("n")))
+    total = targets(kinds.groupBy("source").agg(F.sum("size").alias("size"), F.sum("n").alias("n")), weights, share, max_repeat)
+    total = total.select(F.col("source").alias("of"), F.col("size").alias("source_size"), F.col("n").alias("rows"), "target")
+    kinds = kinds.join(total, F.col("source").eqNullSafe(F.col("of")))
+    # water filling: the most favoured documents are at their limit while the level of those left would exceed it
+    by = Window.partitionBy("of").orderBy(F.desc("favour"))
+    full = F.coalesce(F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) * F.lit(float(max_repeat))
+    left = F.sum(F.col("size") * F.col("favour")).over(by.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    kinds = kinds.withColumn("level", F.try_divide(F.col("target") - full, left))
+    first = F.max(F.when(F.col("level") * F.col("favour") <= max_repeat, F.struct("favour", "level"))).over(Window.partitionBy("of"))
+    kinds = kinds.withColumn("level", first["level"])
+    copies = rate(max_repeat)
+    return kinds.groupBy("of", "source_size", "target", F.col("rows").alias("n"), "level").agg(F.sum(F.floor(copies).cast("long") * F.col("size")).alias("sure_words"), (F.sum(F.col("n") * inclusion(copies)) / F.sum("n")).alias("mean_p"))
+
+
+def rate(max_repeat: float) -> Column:
+    """Expected copies; without a level every document is at its limit."""
+    most = F.lit(float(max_repeat))
+    return F.when(F.col("source_size") > 0, F.least(F.coalesce(F.col("level") * F.col("favour"), most), most)).otherwise(0.0)
+
+
+def inclusion(copies: Column) -> Column:
+    return F.least(F.greatest(copies - F.floor(copies), F.lit(1e-12)), F.lit(1 - 1e-12))
+
+
+def placed(rows: DataFrame, max_repeat: float, bucket_rows: int) -> DataFrame:
+    """`rows` with the levels of their source get `sure` copies, their Pareto `rank` and its `bucket`."""
+    odds = lambda p: p / (1 - p)
+    p = inclusion(rate(max_repeat))
+    even = odds(F.col("u")) / odds(p) * odds(F.col("mean_p"))  # the same order, spread over 0 to 1
+    rows = rows.withColumns({"sure": F.floor(rate(max_repeat)).cast("long"), "rank": even / (1 + even)})
+    buckets = F.floor(F.col("n") / bucket_rows) + 1
+    return rows.withColumn("bucket", F.least(F.floor(F.col("rank") * buckets), buckets - 1).cast("long"))
+
+
+def cuts(sized: DataFrame, weights: tuple[float, ...], share: float, max_repeat: float, bucket_rows: int) -> DataFrame:
+    """The levels of each source with `cut`, the bucket in which its target is met (null: in none), and `last`, the last
+    (rank, doc_id, tie) that is taken there."""
+    known = checkpoint(levels(sized, weights, share, max_repeat))
+    ranked = placed(sized.join(small(known), F.col("source").eqNullSafe(F.col("of"))), max_repeat, bucket_rows)
+    head = Window.partitionBy("of").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranked.groupBy("of", "bucket", (F.col("target") - F.col("sure_words")).alias("rest")).agg(F.sum("size").alias("words")).withColumn("before", F.coalesce(F.sum("words").over(head), F.lit(0)))
+    met = checkpoint(sums.where("before + words > rest").groupBy("of").agg(F.min(F.struct("bucket", "before", "rest")).alias("m")).select(F.col("of").alias("met"), "m.*").withColumnRenamed("bucket", "cut"))
+    inner = ranked.join(small(met), F.col("of").eqNullSafe(F.col("met")) & (F.col("bucket") == F.col("cut")))
+    alike = inner.groupBy("of", "rank", "doc_id", "tie", "cut", "before", "rest").agg(F.sum("size").alias("size"))
+    # a document is taken while half of it at least is below the target
+    within = Window.partitionBy("of").orderBy("rank", "doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)) + F.col("size") / 2 <= F.col("rest")
+    last = alike.withColumn("taken", taken).groupBy("of", "cut").agg(F.max(F.when(F.col("taken"), order())).alias("last")).withColumnRenamed("of", "met")
+    return known.join(small(checkpoint(last)), F.col("of").eqNullSafe(F.col("met")), "left").drop("met")
+
+
+def order() -> Column:
+    return F.struct("rank", F.col("doc_id").isNotNull().alias("there"), "doc_id", "tie")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A checkpointed table of one row per source is broadcast up to MAX_BROADCAST_SOURCES of them."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_SOURCES else df
+
+
+def decided(rows: DataFrame, max_repeat: int, bucket_rows: int) -> DataFrame:
+    """`rows` with the cuts of their source get `copies` and `taken`."""
+    rows = placed(rows, max_repeat, bucket_rows)
+    extra = F.col("cut").isNull() | (F.col("bucket") < F.col("cut")) | (F.col("bucket") == F.col("cut")) & F.coalesce(order() <= F.col("last"), F.lit(False))
+    copies = F.least(F.col("sure") + (extra & (F.col("target") > 0)).cast("long"), F.lit(max_repeat).cast("long"))
+    return rows.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeat: int = 2, seed: int = SEED, size: Column | None = None, favour: Column | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Per document: doc_id, size, source, source_size, target, copies, taken (words taken, repeats counted), tie (hash of the text).
 
-    `favour`: a positive number per document (null: 1); expected copies within a source are in proportion to it,
-    so that inclusion probabilities differ from document to document.
+    `favour`: a positive number per document (null: 1); expected copies within a source are in proportion to it.
+    """
+    own = measured(docs, seed, size, favour)
+    sized = checkpoint(docs.select("doc_id", "source", *[c.alias(n) for n, c in own.items()]))  # the text is read and counted once
+    per_source = checkpoint(cuts(sized, weights, share, max_repeat, bucket_rows))
+    joined = sized.join(small(per_source), F.col("source").eqNullSafe(F.col("of")))
+    return decided(joined, max_repeat, bucket_rows).select("doc_id", "source", "size", "source_size", "target", "copies", "taken", "tie")
+
+
+def mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeat: int = 2, seed: int = SEED, favour: Column | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The documents that the mix takes, all columns as they are, with copies, taken and target.
+
+    Each decides in place by the cut of its source; a column of one of these names is replaced.
     """
-    sized = checkpoint(  # the text is read and counted once: what follows works on a few numbers per document
-        docs.select(
-            "doc_id",
-            "source",
-            (word_count(F.col("text")) if size is None else size).alias("size"),
-            F.coalesce(F.lit(1.0) if favour is None else favour.cast("double"), F.lit(1.0)).alias("favour"),
-            uniform(seed, "doc_id").alias("u"),
-            F.xxhash64("text").alias("tie"),
-        )
-    )
-    words = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.sum(F.col("size") * F.col("favour")).alias("favoured"))
-    total = checkpoint(targets(words, weights, share, max_repeat).select(F.col("source").alias("of"), F.col("size").alias("source_size"), "n", "favoured", "target"))
-    small = F.broadcast if total.count() <= MAX_BROADCAST_SOURCES else lambda df: df
-
-    rate = F.when(F.col("favoured") > 0, F.least(F.col("target") / F.col("favoured") * F.col("favour"), F.lit(float(max_repeat)))).otherwise(0.0)
-    rated = (
-        sized.join(small(total), F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("rate", rate)
-        .withColumn("sure", F.floor("rate").cast("long"))
-        .withColumn("p", F.least(F.greatest(F.col("rate") - F.col("sure"), F.lit(1e-12)), F.lit(1 - 1e-12)))
-    )
-    sure = rated.groupBy("source").agg(F.sum(F.col("sure") * F.col("size")).alias("sure_words"), F.avg("p").alias("mean_p")).withColumnRenamed("source", "of2")
-    odds = F.col("u") / (1 - F.col("u")) / (F.col("p") / (1 - F.col("p")))
-    even = odds * (F.col("mean_p") / (1 - F.col("mean_p")))  # the same order; with equal probabilities u's own odds
-    ranked = (
-        rated.join(small(sure), F.col("source").eqNullSafe(F.col("of2")))
-        .withColumn("rest", F.col("target") - F.col("sure_words"))
-        .withColumn("rank", even / (1 + even))
-        .withColumn("buckets", F.floor(F.col("n") / bucket_rows) + 1)
-        .withColumn("bucket", F.least(F.floor(F.col("rank") * F.col("buckets")), F.col("buckets") - 1).cast("long"))
-    )
-    head = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = ranked.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket")).withColumn("before", F.coalesce(F.sum("in_bucket").over(head), F.lit(0)))
-    placed = ranked.join(
-        sums.select(F.col("source").alias("of3"), F.col("bucket").alias("bucket3"), "before", "in_bucket"),
-        F.col("source").eqNullSafe(F.col("of3")) & (F.col("bucket") == F.col("bucket3")),
-    )
-    # in the bucket where the target is met, a document is taken while half of it at least is below the target
-    within = Window.partitionBy("source", "bucket").orderBy("rank", "doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("in_bucket") > F.col("rest"))
-    inner = placed.where(cut).withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
-    inner = inner.withColumn("extra", F.col("ahead") + F.col("size") / 2 <= F.col("rest")).drop("ahead")
-    outer = placed.where(~cut).withColumn("extra", (F.col("before") < F.col("rest")) & (F.col("in_bucket") > 0))
-    copies = F.least(F.col("sure") + F.col("extra").cast("long"), F.lit(max_repeat).cast("long"))
-    return outer.unionByName(inner).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "tie")
+    own = measured(docs, seed, None, favour)
+    sized = checkpoint(docs.select("doc_id", "source", *[c.alias(n) for n, c in own.items()]))
+    per_source = checkpoint(cuts(sized, weights, share, max_repeat, bucket_rows))
+    row = free_name(docs, "_document")
+    rows = docs.select(F.struct(*docs.columns).alias(row), "doc_id", "source", *[c.alias(n) for n, c in own.items()])
+    joined = decided(rows.join(small(per_source), F.col("source").eqNullSafe(F.col("of"))), max_repeat, bucket_rows).where("copies > 0")
+    kept = [c for c in docs.columns if c.lower() not in ("copies", "taken", "target")]
+    return joined.select(*[F.col(row)[c].alias(c) for c in kept], "copies", "taken", "target")

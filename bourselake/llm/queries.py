@@ -15,7 +15,10 @@ PII_KEY = "not a secret"
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+    """Longer documents are favoured, by the binary digits of their number of words."""
+    docs = table(spark, sf_dir, "documents")
+    favour = F.least(F.length(F.bin(mixing.word_count(F.col("text")))), F.lit(16))
+    return mixing.mix(docs, favour=favour).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,9 +80,14 @@ ORACLES: dict[str, str] = {
              l as (select *, (share - coalesce(sum(room) over (order by turn rows between unbounded preceding and 1 preceding), 0.0::double)) / sum(weight) over (order by turn rows between current row and unbounded following) as level from o),
              f as (select arg_min(level, turn) as level from l where weight * level <= room),
              t as (select l.source, l.size as source_size, least(coalesce(l.weight * f.level, l.room), l.room) as target from l left join f on true),
-             r as (select d.*, t.source_size, t.target, case when t.source_size > 0 then cast(floor(t.target / t.source_size) as bigint) else 0 end as sure from d join t on d.source is not distinct from t.source),
-             p as (select *, target - sure * source_size as rest, coalesce(sum(size) over (partition by source order by u, doc_id rows between unbounded preceding and 1 preceding), 0) as ahead from r)
-        select doc_id, size, source_size, target, source, size * least(2, sure + case when rest > 0 and ahead + size / 2.0 <= rest then 1 else 0 end) as taken from p
+             k as (select source, favour, cast(sum(size) as bigint) as size from (select *, least(length(bin(size)), 16) as favour from d) group by 1, 2),
+             v as (select k.source, favour, t.target, 2.0::double * coalesce(sum(k.size) over (partition by k.source order by favour desc rows between unbounded preceding and 1 preceding), 0) as done,
+                          cast(sum(k.size * favour) over (partition by k.source order by favour desc rows between current row and unbounded following) as double) as rest from k join t on k.source is not distinct from t.source),
+             e as (select source, arg_max((target - done) / nullif(rest, 0), favour) filter ((target - done) / nullif(rest, 0) * favour <= 2) as level from v group by 1),
+             r as (select d.*, t.source_size, t.target, case when t.source_size > 0 then least(coalesce(e.level * least(length(bin(d.size)), 16), 2.0::double), 2.0::double) else 0.0::double end as rate from d join t on d.source is not distinct from t.source join e on d.source is not distinct from e.source),
+             i as (select *, cast(floor(rate) as bigint) as sure, least(greatest(rate - floor(rate), 1e-12::double), 1 - 1e-12::double) as p from r),
+             p as (select *, target - sum(sure * size) over (partition by source) as rest, coalesce(sum(size) over (partition by source order by u / (1 - u) / (p / (1 - p)), doc_id rows between unbounded preceding and 1 preceding), 0) as ahead from i)
+        select doc_id, size, source_size, target, source, size * least(2, sure + case when ahead + size / 2.0 <= rest then 1 else 0 end) as taken from p
     """,
     "op2_substring_dedup": r"""
         with w as (select doc_id, row_number() over () as r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
@@ -98,16 +106,17 @@ ORACLES: dict[str, str] = {
         with t as (select 0 as item, doc_id as id, row_number() over () as r, text from documents union all select 1, item_id, row_number() over (), text from benchmark),
              w as (select item, id, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from t),
              s as (select r, id, w, least(len(w), 10) as n from w where item = 1 and len(w) > 0),
-             b as (select distinct cast(id as varchar) as id, n, array_to_string(w[i:i + n - 1], ' ') as g from (select *, unnest(range(1, len(w) - n + 2)) as i from s)),
+             b as (select r, cast(id as varchar) as id, n, i as j, array_to_string(w[i:i + n - 1], ' ') as g from (select *, unnest(range(1, len(w) - n + 2)) as i from s)),
              z as (select distinct n from b),
              g as (select r, n, i, array_to_string(w[i:i + n - 1], ' ') as g from (select w.r, w.w, z.n, unnest(range(1, greatest(len(w) - z.n + 2, 1))) as i from w, z where w.item = 0)),
-             h as (select g.r, g.i, g.n, b.id from g join b on b.n = g.n and b.g = g.g),
+             h as (select g.r, g.i, g.n, b.id, b.r as of, b.j from g join b on b.n = g.n and b.g = g.g),
              p as (select distinct r, unnest(range(i, i + n)) as p from (select distinct r, i, n from h)),
              c as (select r, count(*) as n_hit from p group by 1),
              a as (select r, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct r, id from h) group by 1),
-             runs as (select r, count(*) as n from (select r, p - row_number() over (partition by r order by p) as run from p) group by r, run)
+             m as (select r, id, min(i) - 1 as start, count(*) + n - 1 as length from (select *, i - row_number() over (partition by r, of, n, i - j order by i) as run from h) group by r, of, id, n, i - j, run),
+             l as (select * from m qualify row_number() over (partition by r order by length desc, start, id) = 1)
         select w.id as doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated,
-               coalesce((select max(n) from runs where runs.r = w.r), 0) as longest_run
-        from w left join c on c.r = w.r left join a on a.r = w.r where w.item = 0
+               coalesce(l.length, 0) as longest_match, l.start as longest_start, l.id as longest_item
+        from w left join c on c.r = w.r left join a on a.r = w.r left join l on l.r = w.r where w.item = 0
     """,
 }

@@ -4,6 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 import numpy as np
+import pyarrow as pa
 
 from bourselake.llm import decontaminate as D
 from bourselake.llm.queries import op10_decontaminate
@@ -43,15 +44,17 @@ def test_whole_table(spark, small):
 
 
 @pytest.mark.parametrize("block", [1 << 20, 40])
-def test_odd_rows_and_several_blocks(spark, block):
+def test_odd_rows_and_several_blocks(spark, monkeypatch, block):
     passage = "the quick brown fox jumps over the lazy dog while seven more foxes sleep"
     items = [(1, passage), (2, "two Three"), (None, passage.upper()), (3, None), (4, ""), (10, "w1x1 w2x2 w3x3 w4x4 w5x5 w6x6 w7x7 w8x8 w9x9 w10x10 w11x11")]
     docs = odd_documents() + [(20, f"a {passage} b {passage}", "en", "a", 1), (21, passage[:30], "en", "a", 1), (22, "zwei two-three", "en", "a", 1)]
     df = spark.createDataFrame(docs, DOCS).withColumnRenamed("lang", "Found").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = D.scan(df.select("doc_id", "text"), bench, block_bytes=block).selectExpr("doc_id", "found.n_words", "aggregate(found.matches, 0L, (a, m) -> a + m.length) n", "cast(size(found.items) as long)", "sha2(array_join(found.items, ','), 256)", "size(found.matches) > 0")
+    monkeypatch.setattr(D, "blocks", lambda benchmark, most, own=D.blocks: own(benchmark, block))
     want = plain([(d[0], d[1]) for d in docs], items)
-    assert rows(found) == want
+    assert rows(D.contamination(df, bench)) == want
+    longest = {r.doc_id: (r.longest_match, r.longest_start, r.longest_item) for r in D.contamination(df, bench).where("contaminated").collect()}
+    assert longest == {3: (2, 1, "2"), 4: (11, 1, "10"), 5: (11, 1, "10"), 20: (14, 1, ""), 22: (2, 1, "2")}
     assert D.clean(df, bench).count() == sum(not r[5] for r in want)
     assert D.clean(df, bench).columns == df.columns
 
@@ -63,6 +66,30 @@ def test_empty_tables(spark):
     assert not any(r.contaminated for r in D.contamination(some, bench.limit(0)).collect())
 
 
+def longest(doc, item, window):
+    """Maximal verbatim matches (start, length, start in the item) of two word lists, by comparing all places."""
+    least = min(window, len(item))
+    out = set()
+    for p in range(len(doc)):
+        for o in range(len(item)):
+            n = 0
+            while p + n < len(doc) and o + n < len(item) and doc[p + n] == item[o + n]:
+                n += 1
+            if n >= least and (p == 0 or o == 0 or doc[p - 1] != item[o - 1]):
+                out.add((p, n, o))
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=40), min_size=1, max_size=4), st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=15), min_size=1, max_size=3), st.integers(1, 6))
+def test_longest_matches_and_places(docs, items, window):
+    sought = D.suffixes([(str(i), " ".join(x)) for i, x in enumerate(items)], window)
+    counts, found = D.shard_matches(pa.array([" ".join(d) for d in docs]), sought, window)
+    assert counts.tolist() == [len(d) for d in docs]
+    for doc, got in zip(docs, found, strict=True):
+        assert set(got) == {(p, n, str(i), o) for i, item in enumerate(items) for p, n, o in longest(doc, item, window)}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=80), st.integers(1, 12))
 def test_suffix_array_order(tokens, depth):

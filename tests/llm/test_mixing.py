@@ -61,3 +61,19 @@ def test_favoured_documents_are_drawn_more_often(spark):
     drawn = {r[0]: r[1] for r in out.groupBy(mixing.F.col("doc_id") % 4 < 2).sum("copies").collect()}
     assert sum(drawn.values()) == pytest.approx(2000, abs=2)
     assert 2.6 < drawn[True] / drawn[False] < 3.4
+
+
+def test_what_documents_at_their_limit_cannot_take_is_shared_again(spark):
+    docs = spark.range(4000).selectExpr("id as doc_id", "'w w w' as text", "'a' as source")
+    out = mixing.mix(docs, weights=(1,), share=1.9, favour=mixing.F.when(mixing.F.col("doc_id") % 2 == 0, 50.0).otherwise(1.0))
+    taken = {r[0]: r[1] for r in out.groupBy(mixing.F.col("doc_id") % 2).sum("taken").collect()}
+    assert taken[0] == 12_000 and abs(taken[0] + taken[1] - 22_800) <= 2
+
+
+def test_documents_decide_in_place_as_in_the_mix(spark):
+    docs = odd_documents() + [(100 + i, "w " * (1 + i * i % 90), "en", "abc"[i % 3], 1) for i in range(200)]
+    df = spark.createDataFrame(docs, DOCS).withColumnsRenamed({"lang": "U", "n_chars": "Target"}).repartition(3)
+    want = sorted(str((r.doc_id, r.copies, r.taken)) for r in mixing.mix(df, bucket_rows=9).where("copies > 0").collect())
+    mixed = mixing.mixed(df, bucket_rows=9)
+    assert sorted(str((r.doc_id, r.copies, r.taken)) for r in mixed.collect()) == want
+    assert mixed.columns == ["doc_id", "text", "U", "source", "copies", "taken", "target"]
