@@ -40,11 +40,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix with the number of copies of each and the words these make."""
-    mixed = mixing.mix(docs).where("copies > 0").groupBy("doc_id", "tie").agg(F.sum("copies").alias("copies"), F.sum("taken").alias("taken"), F.max("target").alias("target"), F.count("*").alias("twins"))
-    mixed = checkpoint(mixed.withColumnRenamed("doc_id", "_doc"))
-    if not mixed.where("twins > 1").isEmpty():  # of rows that repeat doc_id and text, one has the copies of all
-        docs = docs.dropDuplicates(["doc_id", "text"])
-    return docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["_doc"]) & (F.xxhash64(docs["text"]) == mixed["tie"])).select(*docs.columns, "copies", "taken", "target")
+    return mixing.mixed(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
