@@ -1,8 +1,9 @@
 """Quality scores: ridge regression on random Fourier features of document statistics, then isotonic calibration.
 
 Statistics of every whole text are computed once. Random cosine features of the standardised statistics stand for a
-Gaussian kernel; each task adds up the normal equations of its labelled rows, partial sums meet in two steps, and a
-system of fixed size (FEATURES squared) is solved on the driver. Labels never leave that sum. The training rows are
+Gaussian kernel; each task adds up the normal equations of its labelled rows, partial sums of fixed size meet `FAN_IN`
+at a time in the order of their partitions, and a system of fixed size (FEATURES squared) is solved on the driver.
+Labels never leave that sum. The training rows are
 dealt by crc32 of doc_id: remainder 0 of 5 is held out, remainders 1 to 3 fit the ridge, remainder 4 calibrates it:
 sums per score bin (`BINS`, fixed) give a monotone fit by pooling adjacent violators.
 
@@ -20,13 +21,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .shared import checkpoint, shuffle_partitions
+from .shared import checkpoint
 
 FEATURES, BINS = 192, 400
+#: Partial sums that one task adds up, and that reach the driver at most.
+FAN_IN = 16
 #: Score at which a document is predicted to be good.
 GOOD = 0.3
 
@@ -102,7 +106,10 @@ class Model(NamedTuple):
 
 
 def summed(rows: DataFrame, compute, length: int) -> np.ndarray:
-    """Sum over all partitions of vectors of a fixed length that `compute` makes of batches; zeros for no rows."""
+    """Sum over all partitions of vectors of a fixed length that `compute` makes of batches; zeros for no rows.
+
+    Added up in the order of partitions, `FAN_IN` at a time, so that equal partitions give equal sums.
+    """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -111,17 +118,23 @@ def summed(rows: DataFrame, compute, length: int) -> np.ndarray:
                 part = compute(batch)
                 total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["part", "total"])
+
+    def add(key, table: pa.Table) -> pa.Table:
+        total = in_order(table.to_pylist(), length)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
+
+    some = checkpoint(rows.mapInArrow(partial, "part long, total binary"))
+    while some.count() > FAN_IN:
+        some = checkpoint(some.groupBy(F.floor(F.col("part") / FAN_IN).alias("of")).applyInArrow(add, "part long, total binary"))
+    return in_order([r.asDict() for r in some.collect()], length)
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(length)
-        for body in table["total"].to_pylist():
-            total += np.frombuffer(body)
-        return pa.table({"total": pa.array([total.tobytes()], pa.binary())})
 
-    parts = max(1, int(shuffle_partitions(rows.sparkSession) ** 0.5))
-    some = rows.mapInArrow(partial, "total binary").groupBy(F.pmod(F.xxhash64("total"), F.lit(parts)).alias("part")).applyInArrow(add, "total binary")
-    return sum((np.frombuffer(r["total"]) for r in some.collect()), np.zeros(length))  # sqrt(partitions) rows of fixed size
+def in_order(parts: list[dict], length: int) -> np.ndarray:
+    total = np.zeros(length)
+    for r in sorted(parts, key=lambda r: r["part"]):
+        total += np.frombuffer(r["total"])
+    return total
 
 
 def matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -194,7 +207,8 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     measured = checkpoint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(measure, "doc_id long, statistics array<double>"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"), remainder(F.col("doc_id")).alias("fold"))
     known = known.where("label in (0, 1) and fold <> 0").groupBy("doc_id", "fold").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
-    labelled = checkpoint(measured.join(known, "doc_id").select("statistics", "label", "fold"))
+    labelled = measured.join(known, "doc_id").sortWithinPartitions("doc_id", "statistics")
+    labelled = checkpoint(labelled.select("statistics", "label", "fold"))
     model = docs.sparkSession.sparkContext.broadcast(fit(labelled))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

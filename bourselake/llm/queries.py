@@ -12,6 +12,8 @@ from .shared import table
 
 #: The key of the registered query and the pipeline; real runs pass a secret of their own.
 PII_KEY = "not a secret"
+#: The vocabulary of the registered query, a file that the driver reads.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +48,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

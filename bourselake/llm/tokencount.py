@@ -10,11 +10,12 @@ Pieces come from a vocabulary file of ranked byte strings (base64 and rank per l
 none are trained: a piece's probability falls with its rank by Zipf's law, single bytes rank last.
 
 Pre-tokens: maximal runs of one kind (ASCII white space, digits, letters with all bytes above 127, the rest), with
-one space before them if there is one; runs of over `MAX_BYTES` are cut into as many bytes. Together they are the
-whole text.
+one space before them if there is one. Together they are the whole text. A run of more than `LONG_BYTES` (text without
+spaces, base64) is hardly ever a prefix of another, so it stays out of the trie: its forward scores are computed along
+the run, a stretch at a time, with the last scores carried over, to the same result.
 
-Defined cases: a null or empty text has no pre-tokens and no tokens; repeated rows are counted each; other columns
-don't matter; an empty table gives an empty result.
+Defined cases: a null or empty text has no pre-tokens and no tokens; runs of any length are segmented whole; repeated
+rows are counted each; other columns don't matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 
 from . import words as W
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-MAX_BYTES = 96
+#: Longer pre-tokens are scored alone, so many bytes of one at a time.
+LONG_BYTES, STRETCH = 192, 1 << 18
 #: Distinct pre-tokens of about so many bytes of text are put in one trie.
 TRIE_BYTES = 32 << 20
 
@@ -50,7 +51,7 @@ class Model(NamedTuple):
     maybe: np.ndarray
 
 
-def read_vocabulary(path: str = VOCABULARY) -> dict[bytes, float]:
+def read_vocabulary(path: str) -> dict[bytes, float]:
     """Log-probability by piece."""
     ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in Path(path).read_bytes().splitlines() if line)}
     last = max(ranks.values()) + 1
@@ -62,7 +63,7 @@ def read_vocabulary(path: str = VOCABULARY) -> dict[bytes, float]:
 def compile_model(vocabulary: dict[bytes, float]) -> Model:
     if missing := [b for b in range(256) if bytes([b]) not in vocabulary]:
         raise ValueError(f"the vocabulary lacks the bytes {missing[:5]}...")
-    pieces = [p for p in vocabulary if len(p) <= MAX_BYTES]
+    pieces = list(vocabulary)
     ends = np.cumsum([len(p) for p in pieces])
     hashes = W.span_hash(np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], ends[:-1]]), ends)
     order = np.argsort(hashes)
@@ -86,10 +87,6 @@ def pre_tokens(t: W.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends[joins - 1] -= 1
     there = ends > starts
     starts, ends = starts[there], ends[there]
-    parts = -(-(ends - starts) // MAX_BYTES)
-    within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    starts, last = np.repeat(starts, parts) + within * MAX_BYTES, np.repeat(ends, parts)
-    ends = np.minimum(starts + MAX_BYTES, last)
     rows = np.searchsorted(starts, t.offsets)
     return starts, ends, np.diff(rows)
 
@@ -143,6 +140,39 @@ def trie_scores(tokens: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarr
     return out_pieces[back], out_score[back]
 
 
+def run_score(run: bytes, model: Model) -> tuple[int, float]:
+    """The number of pieces and the log-probability of the best segmentation of one run of any length."""
+    reach = max(model.lengths)
+    score, pieces = [0.0], [0]  # of the prefixes that end in the last `reach` bytes before a stretch
+    for at in range(0, len(run), STRETCH):
+        begin = at + 1 - len(score)
+        data = np.frombuffer(run, np.uint8, min(len(run), at + STRETCH) - begin, begin)
+        stops, sizes, gains = [], [], []
+        for k in model.lengths:
+            stop = np.arange(max(at - begin + 1, k), len(data) + 1)
+            h = W.span_hash(data, stop - k, stop)
+            may = np.flatnonzero(model.maybe[h >> np.uint64(42)])
+            where = np.minimum(np.searchsorted(model.hashes, h[may]), len(model.hashes) - 1)
+            hit = model.hashes[where] == h[may]
+            stops.append(stop[may[hit]])
+            sizes.append(np.full(hit.sum(), k))
+            gains.append(model.scores[where[hit]])
+        stop = np.concatenate(stops)
+        order = np.argsort(stop, kind="stable")
+        size, gain = np.concatenate(sizes)[order].tolist(), np.concatenate(gains)[order].tolist()
+        ends = np.searchsorted(stop[order], np.arange(at - begin + 1, len(data) + 2)).tolist()
+        for a, b in zip(ends, ends[1:], strict=False):
+            best, count = -math.inf, 0
+            for j in range(a, b):
+                s, c = score[-size[j]] + gain[j], pieces[-size[j]] + 1
+                if s > best or s == best and c < count:
+                    best, count = s, c
+            score.append(best)
+            pieces.append(count)
+        score, pieces = score[-reach:], pieces[-reach:]
+    return pieces[-1], score[-1]
+
+
 def count_batch(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each row: pre-tokens, tokens, log-probability."""
     hashes, each, distinct = [], [], {}
@@ -159,14 +189,20 @@ def count_batch(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.nda
     if not distinct:
         return n, np.zeros(len(n), np.int64), np.zeros(len(n))
     known = np.fromiter(distinct, np.uint64, len(distinct))
-    pieces, score = trie_scores(list(distinct.values()), model)
+    tokens = list(distinct.values())
+    pieces, score = np.zeros(len(tokens), np.int64), np.zeros(len(tokens))
+    if short := [i for i, t in enumerate(tokens) if len(t) <= LONG_BYTES]:
+        pieces[short], score[short] = trie_scores([tokens[i] for i in short], model)
+    for i, t in enumerate(tokens):
+        if len(t) > LONG_BYTES:
+            pieces[i], score[i] = run_score(t, model)
     order = np.argsort(known)
     at = order[np.searchsorted(known[order], np.concatenate(hashes))]
     rows = np.concatenate([[0], np.cumsum(n)])
     return n, W.per_row(pieces[at], rows), np.bincount(np.repeat(np.arange(len(n)), n), score[at], len(n))
 
 
-def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Per row: doc_id, n_pretokens, n_tokens, log_probability (of the whole text, rounded to 6 digits).
 
     `vocabulary` is read on the driver; the compiled model, of a size fixed by the file, is broadcast.

@@ -51,3 +51,38 @@ def test_pooled_blocks_rise():
     total = rng.binomial(count.astype(int), score).astype(float)
     knots, values = O.pool(score, total, count)
     assert (np.diff(values) > 0).all() and (np.diff(knots) > 0).all()
+
+
+def plain_isotonic(total, count):
+    """Each value as the max over starts of the min over ends of the means between."""
+    mean = lambda a, b: total[a : b + 1].sum() / count[a : b + 1].sum()
+    n = len(total)
+    return [max(min(mean(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+
+
+def test_fit_against_plain(spark, monkeypatch):
+    """The model against one that is solved on all rows at once, with another solver and another way of pooling."""
+    rng = np.random.default_rng(7)
+    k = len(O.STATISTICS)
+    x = rng.normal(size=(600, k)) * rng.uniform(0.1, 5, k) + 2
+    y = (x[:, 0] + rng.normal(size=600) > 2).astype(int)
+    fold = rng.integers(1, 5, 600)
+    df = spark.createDataFrame([(r.tolist(), int(a), int(f)) for r, a, f in zip(x, y, fold, strict=True)], "statistics array<double>, label int, fold int")
+    monkeypatch.setattr(O, "FAN_IN", 3)
+    model = O.fit(df.repartition(11))
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0))
+    train, rest = fold < 4, fold == 4
+    z = np.clip((x - x.mean(axis=0)) / x.std(axis=0), -6, 6)
+    z = np.column_stack([np.ones(600), z, np.cos(z @ model.weights + model.phases) * np.sqrt(2 / O.FEATURES)])
+    width, n = z.shape[1], train.sum()
+    penalty = 1e-2 * n / width + 1e-9
+    ridge = np.linalg.lstsq(np.vstack([z[train], np.sqrt(penalty) * np.eye(width)]), np.concatenate([y[train], np.zeros(width)]), rcond=None)[0]
+    assert np.allclose(model.ridge, ridge, atol=1e-6)
+    raw = z[rest] @ ridge
+    at = np.clip(((raw + 0.5) / 2 * O.BINS).astype(int), 0, O.BINS - 1)
+    count = np.bincount(at, minlength=O.BINS).astype(float)
+    total, score, there = np.bincount(at, y[rest], O.BINS), np.bincount(at, raw, O.BINS), count > 0
+    want = plain_isotonic(total[there], count[there])
+    got = model.values[1:-1]
+    assert np.allclose(sorted(set(np.round(want, 9))), np.round(got, 9))
+    assert np.allclose(model.score(x[rest]), np.interp(raw, model.knots, model.values))

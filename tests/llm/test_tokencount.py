@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -5,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from bourselake.llm import tokencount as O
-from bourselake.llm.queries import op8_token_counts
+from bourselake.llm.queries import VOCABULARY, op8_token_counts
 from tests.llm.plain import DOCS, odd_documents
 
 RUN = re.compile(rb"[\x09-\x0D\x20]+|[0-9]+|[A-Za-z\x80-\xff]+|[^\x09-\x0D\x20-\x20 0-9A-Za-z\x80-\xff]+")
@@ -13,7 +14,7 @@ RUN = re.compile(rb"[\x09-\x0D\x20]+|[0-9]+|[A-Za-z\x80-\xff]+|[^\x09-\x0D\x20-\
 
 @pytest.fixture(scope="module")
 def vocabulary():
-    return O.read_vocabulary()
+    return O.read_vocabulary(VOCABULARY)
 
 
 def plain_pre_tokens(text):
@@ -21,13 +22,16 @@ def plain_pre_tokens(text):
     for i in range(1, len(runs)):
         if runs[i - 1][-1:] == b" " and runs[i][:1].strip(b" \t\n\x0b\x0c\r"):
             runs[i - 1], runs[i] = runs[i - 1][:-1], b" " + runs[i]
-    return [r[i : i + O.MAX_BYTES] for r in runs for i in range(0, len(r), O.MAX_BYTES)]
+    return [r for r in runs if r]
+
+
+LONGEST = max(map(len, O.read_vocabulary(VOCABULARY)))
 
 
 def plain_best(token, vocabulary):
     best = [(0.0, 0)]
     for d in range(1, len(token) + 1):
-        ways = [(best[d - k][0] + vocabulary[token[d - k : d]], -best[d - k][1] - 1) for k in range(1, d + 1) if token[d - k : d] in vocabulary]
+        ways = [(best[d - k][0] + vocabulary[token[d - k : d]], -best[d - k][1] - 1) for k in range(1, min(d, LONGEST) + 1) if token[d - k : d] in vocabulary]
         s, n = max(ways)
         best.append((s, -n))
     return best[-1]
@@ -55,17 +59,29 @@ def test_whole_table(spark, small, vocabulary):
 def test_odd_rows(spark, vocabulary):
     docs = odd_documents() + [(40, "a" * 500 + " b  c\n\n d--e", "en", "a", 1), (41, "\x00\x01  x", "en", "a", 1)]
     df = spark.createDataFrame(docs, DOCS).withColumnRenamed("lang", "N_Tokens")
-    assert rows(O.token_counts(df)) == plain([d[:2] for d in docs], vocabulary)
-    assert O.token_counts(df.limit(0)).collect() == []
+    assert rows(O.token_counts(df, VOCABULARY)) == plain([d[:2] for d in docs], vocabulary)
+    assert O.token_counts(df.limit(0), VOCABULARY).collect() == []
 
 
 @settings(max_examples=50, deadline=None)
-@given(st.sets(st.binary(min_size=1, max_size=O.MAX_BYTES), min_size=1, max_size=20))
+@given(st.sets(st.binary(min_size=1, max_size=96), min_size=1, max_size=20))
 def test_trie_gives_each_token_its_best_segmentation(tokens):
-    vocabulary = test_trie_gives_each_token_its_best_segmentation.__dict__.setdefault("v", O.read_vocabulary())
+    vocabulary = test_trie_gives_each_token_its_best_segmentation.__dict__.setdefault("v", O.read_vocabulary(VOCABULARY))
     tokens = [*tokens, *(t[: len(t) // 2] for t in tokens if len(t) > 1 and t[: len(t) // 2] not in tokens)]
     tokens = list(dict.fromkeys(tokens))
     pieces, score = O.trie_scores(tokens, O.compile_model(vocabulary))
     for t, n, s in zip(tokens, pieces, score, strict=True):
         want = plain_best(t, vocabulary)
         assert (n, s) == (want[1], pytest.approx(want[0]))
+
+
+def test_long_runs_are_segmented_whole(spark, vocabulary, monkeypatch):
+    rng = random.Random(2)
+    runs = ["東京都は日本の首都" * 700, "a" * 5000, "".join(rng.choice("abcdetion") for _ in range(10_000)), "=" * 300 + "x"]
+    df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(runs)], DOCS)
+    assert rows(O.token_counts(df, VOCABULARY)) == plain(list(enumerate(runs)), vocabulary)
+    monkeypatch.setattr(O, "STRETCH", 37)
+    model = O.compile_model(vocabulary)
+    for t in (x.encode() for x in runs):
+        n, s = O.run_score(t[:2000], model)
+        assert plain_best(t[:2000], vocabulary) == (pytest.approx(s), n)
