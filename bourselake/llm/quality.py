@@ -120,7 +120,7 @@ def summed(rows: DataFrame, compute, length: int) -> np.ndarray:
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["part", "total"])
 
-    def add(key, table: pa.Table) -> pa.Table:
+    def add(key, table):
         total = in_order(table.to_pylist(), length)
         return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
 
