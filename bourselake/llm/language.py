@@ -2,18 +2,21 @@
 
 log posterior = text likelihood + log P(declared | language) + log P(suffix | language) + log P(language | host).
 
-- Text: naive Bayes over hashed byte trigrams, learnt from rows whose language is given (a hashed sample of about
-  `TRAIN_ROWS`). Grams of one text are not independent, so it counts at most `GRAMS` times its mean log-likelihood.
+- Text: naive Bayes over hashed byte trigrams, learnt from rows whose language is given: of every language a hashed
+  sample of about `TRAIN_TEXTS` distinct texts, or all it has. Grams of one text are not independent, so it counts at
+  most `GRAMS` times its mean log-likelihood.
 - Declared language and address suffix: grouped counts of each value by the language that the text alone suggests.
 - Host: the same counts, smoothed towards those of the registered domain, these towards those of all pages; a row's
   own text is taken out of its host's counts.
 
 The text is scanned once; what is grouped and joined is a few numbers per row. Counts by value are partial sums
-before the shuffle, so a host with a third of all rows is one row per task.
+before the shuffle, so a host with a third of all rows is one row per task. Every language found is a class, however
+rare; the model takes 128 KB for each (of hundreds of languages, tens of megabytes). A class whose texts hold no letter
+trigram would win wherever others saw nothing, so it is left out.
 
 Defined cases: a null or empty text has a flat likelihood, so the other evidence decides; a missing declaration or
-address is a value of its own; repeated rows count as rows; an empty table gives an empty result; without any
-training text all languages are equally likely and the language is null.
+address is a value of its own; repeated rows count as rows; an empty table gives an empty result; very long texts are
+scored whole; without any training text the language is null, and `keep_identified` keeps every text that isn't empty.
 """
 
 from __future__ import annotations
@@ -29,14 +32,14 @@ from pyspark.sql import functions as F
 from . import words as W
 from .shared import checkpoint
 
-TRAIN_ROWS = 20_000
-MAX_LANGUAGES = 64
+TRAIN_TEXTS = 5_000
 BUCKETS = 1 << 15
 #: Weight of a text, in trigrams, and of the smoothing, in rows.
 GRAMS, SMOOTHING = 40, 5.0
 #: Values that a declaration or suffix is assumed to have; smooths their probabilities.
 VALUES = 20
-MAX_BROADCAST_ROWS = 50_000
+#: Rows of keys, and numbers in tables of counts, that are broadcast at most.
+MAX_BROADCAST_ROWS, MAX_BROADCAST_COUNTS = 50_000, 400_000
 NONE = ""
 
 # letters in lower case, all else a blank
@@ -59,17 +62,16 @@ def trigrams(t: W.Texts) -> tuple[np.ndarray, np.ndarray]:
     return code[inside].astype(np.int64), row[:-2][inside]
 
 
-def train(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    """`rows`: text and language. Of more than `train_rows` rows, a sample by the hash of the text."""
+def train(rows: DataFrame, train_texts: int = TRAIN_TEXTS) -> Model:
+    """`rows`: text and language. Of a language with more than `train_texts` rows, a sample by the hash of the text."""
     rows = rows.where(F.col("language").isNotNull() & (F.length("text") > 0))
-    counts = {r["language"]: r["count"] for r in rows.groupBy("language").count().orderBy(F.desc("count"), "language").limit(MAX_LANGUAGES).collect()}
+    counts = {r["language"]: r["count"] for r in rows.groupBy("language").count().collect()}  # a row per language
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((0, BUCKETS)))
-    number = F.create_map(*[x for i, name in enumerate(languages) for x in (F.lit(name), F.lit(i))])
-    chosen = rows.select("text", number[F.col("language")].alias("number")).where("number is not null")
-    if (total := sum(counts.values())) > train_rows:
-        chosen = chosen.where(F.shiftrightunsigned(F.xxhash64("text"), 24) < int(2**40 * train_rows / total))
+    kinds = rows.sparkSession.createDataFrame([(x, i, min(2**40, int(2**40 * train_texts / counts[x]))) for i, x in enumerate(languages)], "language string, number long, most long")
+    chosen = rows.join(F.broadcast(kinds), "language").where(F.shiftrightunsigned(F.xxhash64("text"), 24) < F.col("most"))
+    chosen = chosen.select("text", "number").distinct()  # a text that many rows share counts once
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), BUCKETS), np.int64)
@@ -82,9 +84,10 @@ def train(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i)), pa.array(at), pa.array(sums[i][at])], ["number", "bucket", "n"])
 
     seen = chosen.mapInArrow(count, "number long, bucket long, n long").groupBy("number", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    sums = np.full((len(languages), BUCKETS), 0.5)
+    sums = np.full((len(languages), BUCKETS), 0.5, np.float32)
     sums[seen["number"].to_numpy(), seen["bucket"].to_numpy()] += seen["n"].to_numpy()
-    return Model(languages, np.log(sums / sums.sum(axis=1, keepdims=True)))
+    has = np.unique(seen["number"].to_numpy())
+    return Model([languages[i] for i in has], np.log(sums[has] / sums[has].sum(axis=1, keepdims=True, dtype=np.float64)).astype(np.float32))
 
 
 def text_scores(rows: DataFrame, model: Model) -> DataFrame:
@@ -107,30 +110,34 @@ def text_scores(rows: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(score, f"{kinds}, likelihood array<double>, grams long, text_language string")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Counts by value are broadcast up to MAX_BROADCAST_ROWS rows, which are counted first, else joined by shuffle."""
+def small(df: DataFrame, width: int = 1) -> DataFrame:
+    """Counts by value (`width` numbers a row) are broadcast up to MAX_BROADCAST_COUNTS, counted first, else joined by shuffle."""
     df = checkpoint(df)
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() * width <= MAX_BROADCAST_COUNTS else df
 
 
 def fuse(scored: DataFrame, languages: list[str], smoothing: float = SMOOTHING) -> DataFrame:
     """Adds language and probability to rows of likelihood, text_language, declared, suffix, host and domain."""
-    each = [F.lit(x) for x in languages]
-    tally = F.array(*[F.count_if(F.col("text_language") == x).cast("double") for x in each])
-    total = scored.agg(tally.alias("total")).first()["total"]
+    names = F.array(*[F.lit(x) for x in languages])
+    seen = {r["text_language"]: r["count"] for r in scored.groupBy("text_language").count().collect()}  # a row per language
+    total = [float(seen.get(x, 0)) for x in languages]
     share = F.array(*[F.lit((t + 1) / (sum(total) + len(total))) for t in total])
+    totals = F.array(*[F.lit(t) for t in total])
 
     def by(column: str) -> DataFrame:
-        return scored.groupBy(column).agg(tally.alias(f"of_{column}")).withColumnRenamed(column, f"_{column}")
+        each = scored.groupBy(column, "text_language").agg(F.count("*").cast("double").alias("n"))
+        counts = F.map_from_entries(F.collect_list(F.when(F.col("text_language").isNotNull(), F.struct("text_language", "n"))))
+        tally = F.transform(names, lambda x: F.coalesce(F.try_element_at("counts", x), F.lit(0.0)))
+        return each.groupBy(column).agg(counts.alias("counts")).select(F.col(column).alias(f"_{column}"), tally.alias(f"of_{column}"))
 
     def given(column: str) -> Column:
         """log P(value | language), by share of the language's rows."""
-        return F.zip_with(f"of_{column}", F.array(*[F.lit(t) for t in total]), lambda n, t: F.log((n + 0.5) / (t + 0.5 * VALUES)))
+        return F.zip_with(f"of_{column}", totals, lambda n, t: F.log((n + 0.5) / (t + 0.5 * VALUES)))
 
     joined = scored
     for column in ("declared", "suffix", "host", "domain"):
-        joined = joined.join(small(by(column)), F.col(column) == F.col(f"_{column}")).drop(f"_{column}")
-    own = F.array(*[F.when(F.col("text_language") == x, 1.0).otherwise(0.0) for x in each])
+        joined = joined.join(small(by(column), len(languages)), F.col(column) == F.col(f"_{column}")).drop(f"_{column}")
+    own = F.transform(names, lambda x: F.coalesce((F.col("text_language") == x).cast("double"), F.lit(0.0)))
     less = lambda column: F.zip_with(F.col(f"of_{column}"), own, lambda a, b: a - b)
     smoothed = lambda counts, prior: F.zip_with(counts, prior, lambda n, p: (n + smoothing * p) / (F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) + smoothing))
     joined = joined.withColumn("_domain_prior", smoothed(less("domain"), share)).withColumn("_host_prior", smoothed(less("host"), F.col("_domain_prior")))
@@ -140,7 +147,7 @@ def fuse(scored: DataFrame, languages: list[str], smoothing: float = SMOOTHING)
     top = F.array_max("_posterior")
     mass = F.aggregate("_posterior", F.lit(0.0), lambda a, x: a + F.exp(x - top))
     at = F.array_position("_posterior", top).cast("int")
-    return joined.select(*scored.columns, F.get(F.array(*each), at - 1).alias("language"), F.round(1 / mass, 6).alias("probability"))
+    return joined.select(*scored.columns, F.get(names, at - 1).alias("language"), F.round(1 / mass, 6).alias("probability"))
 
 
 def identify(rows: DataFrame, model: Model) -> DataFrame:
@@ -157,13 +164,17 @@ def primary_tag(tag: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(F.lower(tag), r"^\s*([a-z]{2,3})(?:[-_].*)?\s*$", 1), F.lit("")), F.lit(NONE))
 
 
+#: The last two labels of a host, or three where the last two are a public suffix such as co.uk.
+_REGISTERED = r"[^.]+\.(?:ac|co|com|edu|go|gov|ne|net|or|org)\.[a-z]{2}$|[^.]+\.[^.]+$|^[^.]+$"
+
+
 def web_pages(pages: DataFrame) -> DataFrame:
     """page_id, visible text, declared language and the parts of the address of web pages."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
     tag = F.regexp_extract("html", r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z_-]+)", 1)
     text = F.regexp_replace("html", r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[A-Za-z#0-9]+;", " ")
     named = pages.select(F.col("page_id").cast("long").alias("page_id"), text.alias("text"), primary_tag(tag).alias("declared"), host.alias("host"))
-    return named.withColumns({"domain": F.regexp_extract("host", r"[^.]+\.[^.]+$|^[^.]+$", 0), "suffix": F.regexp_extract("host", r"\.([^.]+)$", 1)})
+    return named.withColumns({"domain": F.regexp_extract("host", _REGISTERED, 0), "suffix": F.regexp_extract("host", r"\.([^.]+)$", 1)})
 
 
 def identify_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:

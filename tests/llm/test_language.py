@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -70,3 +71,34 @@ def test_pipeline_stage_and_empty_tables(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     assert O.identify_pages(pages.limit(0), docs).collect() == []
     assert {r.language for r in O.identify_pages(pages.limit(3), docs.limit(0)).collect()} == {None}
+
+
+def test_every_language_is_a_class(spark):
+    draw = random.Random(1)
+    words = {f"l{i:03d}": "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for i in range(100)}
+    rows = [(f"{w} {w}x {w}y {k}", language) for i, (language, w) in enumerate(words.items()) for k in ("ab", "cd", "ef")[: 1 + i % 3]] + [("12 34", "digits"), (None, "nothing")]
+    df = spark.createDataFrame(rows, "text string, language string").repartition(4)
+    model = O.train(df)
+    assert model.languages == sorted(words)
+    got = O.text_scores(df.where("language like 'l%'").withColumnRenamed("language", "lang"), model)
+    assert got.where("lang <> text_language").count() == 0
+    copies = df.unionByName(spark.createDataFrame([(f"{words['l000']} zz", "l001")] * 500, df.schema))
+    capped = O.train(copies, train_texts=1)
+    assert set(capped.languages) <= set(words)
+
+
+def test_text_model_against_plain(spark):
+    rows = [("der hund und die katze", "de"), ("the dog and the cat", "en"), ("le chien et le chat", "fr"), ("die katze", "de"), ("die katze", "de")]
+    model = O.train(spark.createDataFrame(rows, "text string, language string"))
+    count = {x: collections.Counter() for x in model.languages}
+    for text, x in set(rows):
+        padded = text.encode()
+        for a, b, c in zip(padded, padded[1:], padded[2:], strict=False):
+            if a != 32:
+                count[x][((a << 16 | b << 8 | c) * 0x9E3779B1 & 0xFFFFFFFF) >> 17] += 1
+    for text in ("die hunde", "the cats"):
+        grams = [t for a, b, c in zip(text.encode(), text.encode()[1:], text.encode()[2:], strict=False) if a != 32 for t in [((a << 16 | b << 8 | c) * 0x9E3779B1 & 0xFFFFFFFF) >> 17]]
+        score = [sum(math.log((count[x][g] + 0.5) / (sum(count[x].values()) + O.BUCKETS / 2)) for g in grams) / len(grams) * min(len(grams), O.GRAMS) for x in model.languages]
+        got = O.text_scores(spark.createDataFrame([(text,)], "text string"), model).first()
+        assert got.grams == len(grams) and all(abs(a - b) < 1e-3 for a, b in zip(got.likelihood, score, strict=True))
+        assert got.text_language == model.languages[max(range(3), key=score.__getitem__)]
