@@ -106,8 +106,8 @@ def text_scores(rows: DataFrame, model: Model) -> DataFrame:
             scaled = pa.FixedSizeListArray.from_arrays(pa.array((mean * np.minimum(n, GRAMS)[:, None]).ravel()), len(m.languages)).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], scaled, pa.array(n), best], [*others, "likelihood", "grams", "text_language"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
-    return rows.mapInArrow(score, f"{kinds}, likelihood array<double>, grams long, text_language string")
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text"]
+    return rows.mapInArrow(score, ", ".join([*kinds, "likelihood array<double>", "grams long", "text_language string"]))
 
 
 def small(df: DataFrame, width: int = 1) -> DataFrame:
