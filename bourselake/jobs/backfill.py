@@ -1,4 +1,4 @@
-"""History backfill: all disclosures of a watchlist in a range of days that aren't written yet."""
+"""History backfill: all disclosures of a watchlist in a range of days that aren't written yet, in bounded rounds."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ranges import in_date_range
-from ..operators.listing import list_fields, on_watchlist
+from ..operators.listing import list_fields, month_counts, on_watchlist
 from ..operators.records import records
-from ..operators.resume import completeness, not_written
+from ..operators.resume import completeness, in_rounds, missing_keys
 from ..sources.listing import quarantine, read_listing, read_watchlist
 from ..sources.pages import parse_pages, read_pages
 from ..sources.records import read_written_keys, write_records
@@ -23,14 +23,36 @@ def listed(listing: DataFrame, watchlist: DataFrame, first: datetime.date, last:
     return on_watchlist(rows, watchlist, F.col("stock_code"), F.col("related_stocks"), "disclosure_index").dropDuplicates(["disclosure_index"])
 
 
-def run(spark: SparkSession, landed: str, out: str, first: datetime.date, last: datetime.date, url_template: str, results: DataFrame) -> DataFrame:
-    """Writes what is complete and not written; the completeness report."""
-    listing, _ = quarantine(read_listing(spark, f"{landed}/listing", strict=False))
-    rows = listed(listing, read_watchlist(spark, f"{landed}/watchlist"), first, last, url_template)
-    todo = not_written(rows, read_written_keys(spark, out))
-    pages = read_pages(spark, f"{landed}/pages").join(todo.select("disclosure_index"), "disclosure_index", "left_semi")
-    write_records(records(todo, checkpoint(parse_pages(pages)), results), out)
-    return completeness(rows, read_written_keys(spark, out))
+class Backfill:
+    """One range of days: what is listed, what of it is written, and the rounds that write the rest."""
+
+    def __init__(self, spark: SparkSession, landed: str, out: str, first: datetime.date, last: datetime.date, url_template: str):
+        self.spark, self.landed, self.out = spark, landed, out
+        listing, _ = quarantine(read_listing(spark, f"{landed}/listing", strict=False))
+        self.rows = checkpoint(listed(listing, read_watchlist(spark, f"{landed}/watchlist"), first, last, url_template))
+
+    def written(self) -> DataFrame:
+        return read_written_keys(self.spark, self.out)
+
+    def months(self) -> DataFrame:
+        """month, listed, to_fetch, newest first."""
+        there = self.written().distinct().withColumn("_there", F.lit(1))
+        return month_counts(self.rows.join(there, "disclosure_index", "left"), "publish_date", F.col("_there").isNull()).orderBy(F.desc("month"))
+
+    def process(self, todo: DataFrame, results: DataFrame) -> None:
+        """Writes what is complete, newest first within each file."""
+        pages = read_pages(self.spark, f"{self.landed}/pages").join(todo.select("disclosure_index"), "disclosure_index", "left_semi")
+        write_records(records(todo, checkpoint(parse_pages(pages)), results).sortWithinPartitions(F.desc("publish_date")), self.out)
+
+    def missing(self) -> DataFrame:
+        return missing_keys(self.rows, self.written())
+
+
+def run(spark: SparkSession, landed: str, out: str, first: datetime.date, last: datetime.date, url_template: str, results: DataFrame, rounds: int = 0) -> DataFrame:
+    """Writes what is complete and not written, then up to `rounds` times what has landed since; the completeness report."""
+    job = Backfill(spark, landed, out, first, last, url_template)
+    in_rounds(lambda: job.rows, job.written, lambda todo, n: job.process(todo, results), rounds)
+    return completeness(job.rows, job.written())
 
 
 def main() -> None:
@@ -39,9 +61,16 @@ def main() -> None:
         parser.add_argument(f"--{name}", required=True)
     for name in ("start", "end"):
         parser.add_argument(f"--{name}", type=datetime.date.fromisoformat, required=True)
+    parser.add_argument("--rounds", type=int, default=3)
+    parser.add_argument("--missing", help="where to write the missing keys, in order")
     a = parser.parse_args()
     spark = SparkSession.builder.appName("backfill").getOrCreate()
-    run(spark, a.landed, a.out, a.start, a.end, a.url_template, spark.read.parquet(a.results)).show(truncate=False)
+    job = Backfill(spark, a.landed, a.out, a.start, a.end, a.url_template)
+    job.months().show(1000)
+    in_rounds(lambda: job.rows, job.written, lambda todo, n: job.process(todo, spark.read.parquet(a.results)), a.rounds)
+    completeness(job.rows, job.written()).show(truncate=False)
+    if a.missing:
+        job.missing().write.mode("overwrite").json(a.missing)
 
 
 if __name__ == "__main__":

@@ -1,4 +1,7 @@
-"""Live watch: appends each new disclosure of a watchlist once its page and attachments are landed."""
+"""Live watch: appends each new disclosure of a watchlist once its page and attachments are landed.
+
+Page and attachments may land after the listing row: such a row is tried again, see `append_until_done`.
+"""
 
 from __future__ import annotations
 
@@ -14,17 +17,20 @@ from ..sources.listing import read_watchlist, stream_listing
 from ..sources.pages import parse_pages, read_pages
 from ..sources.records import read_written_keys, write_records
 from ..sources.tables import checkpoint as cut
-from ..streaming.watch import append_once, catch_up, once_each
+from ..streaming.retry import PAUSE_SECONDS
+from ..streaming.watch import append_until_done, catch_up, once_each
 
 
-def run(spark: SparkSession, landed: str, out: str, checkpoint: str, start: datetime.datetime, url_template: str, results: str, trigger: dict | None = None) -> StreamingQuery:
+def run(spark: SparkSession, landed: str, out: str, checkpoint: str, start: datetime.datetime, url_template: str, results: str, trigger: dict | None = None, pause: float = PAUSE_SECONDS) -> StreamingQuery:
     rows = list_fields(stream_listing(spark, f"{landed}/listing"), url_template)
     rows = on_watchlist(rows, read_watchlist(spark, f"{landed}/watchlist"), F.col("stock_code"), F.col("related_stocks"), "disclosure_index")
     rows = once_each(catch_up(rows, "publish_date", start), "publish_date", "disclosure_index")
 
-    def write(new: DataFrame, number: int) -> None:
-        new = cut(new)
+    def build(new: DataFrame) -> DataFrame:
         pages = read_pages(spark, f"{landed}/pages").join(new.select("disclosure_index"), "disclosure_index", "left_semi")
-        write_records(records(new, cut(parse_pages(pages)), spark.read.parquet(results)).coalesce(4), out)
+        return records(new, cut(parse_pages(pages)), spark.read.parquet(results))
+
+    def write(done: DataFrame, number: int) -> None:
+        write_records(done.coalesce(4), out)
 
-    return append_once(rows, "disclosure_index", lambda: read_written_keys(spark, out), write, checkpoint, trigger, F.col("publish_date"))
+    return append_until_done(rows, "disclosure_index", build, lambda: read_written_keys(spark, out), write, checkpoint, trigger, F.col("publish_date"), pause=pause)

@@ -25,11 +25,19 @@ def attempt_counts(failures: DataFrame, key: str = KEY, most: int = 3) -> DataFr
 
 
 def completeness(listed: DataFrame, written: DataFrame, key: str = KEY) -> DataFrame:
-    """One row: listed, missing, complete. The missing keys themselves are `not_written`, a distributed table."""
+    """One row: listed, missing, complete. The missing keys themselves are `missing_keys`, a distributed table."""
     state = distinct_keys(listed, key).join(distinct_keys(written, key).withColumn("_there", F.lit(1)), key, "left")
     return state.agg(F.count("*").alias("listed"), F.count_if(F.col("_there").isNull()).alias("missing"), (F.count_if(F.col("_there").isNull()) == 0).alias("complete"))
 
 
+def missing_keys(listed: DataFrame, written: DataFrame, failures: DataFrame | None = None, key: str = KEY) -> DataFrame:
+    """The keys that are listed and not written, in order; with attempts and given_up (see attempt_counts) of `failures`."""
+    missing = distinct_keys(not_written(listed, written, key), key)
+    if failures is not None:
+        missing = missing.join(attempt_counts(failures, key), key, "left").select(key, F.coalesce("attempts", F.lit(0).cast("long")).alias("attempts"), F.coalesce("given_up", F.lit(False)).alias("given_up"))
+    return missing.orderBy(key)
+
+
 def in_rounds(listed: Callable[[], DataFrame], written: Callable[[], DataFrame], process: Callable[[DataFrame, int], None], rounds: int = 3, key: str = KEY) -> int:
     """Processes what isn't written, then up to `rounds` times more what is left; the number of rows left."""
     for n in range(rounds + 1):

@@ -1,4 +1,8 @@
-"""Retry state per key: failures are counted, a try follows a failure after a pause, success or the last failure ends it."""
+"""Retry state per key: failures are counted, a try follows a failure after a pause, success or the last failure ends it.
+
+The state of a key is dropped `KEEP_SECONDS` after its last outcome: no more are expected then, and what was still
+waiting is left to the backfill.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-MAX_FAILURES, PAUSE_SECONDS = 3, 300
+MAX_FAILURES, PAUSE_SECONDS, KEEP_SECONDS = 3, 300, 86_400
 OUTPUT = "key long, attempts int, status string, next_try double"
 
 
@@ -24,20 +28,24 @@ def _step(attempts: int, done: bool, outcomes: pd.DataFrame, most: int) -> tuple
     return attempts, done, last
 
 
-def retry_state(outcomes: DataFrame, most: int = MAX_FAILURES, pause: float = PAUSE_SECONDS) -> DataFrame:
+def retry_state(outcomes: DataFrame, most: int = MAX_FAILURES, pause: float = PAUSE_SECONDS, keep: float = KEEP_SECONDS) -> DataFrame:
     """Stream of (key long, time double in seconds, ok boolean) to the state of each key that changed.
 
     status: done, given_up (left to the backfill) or waiting, then with next_try.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         attempts, done = state.get if state.exists else (0, False)
         last = 0.0
         for batch in batches:
             attempts, done, at = _step(attempts, done, batch, most)
             last = max(last, at)
         state.update((attempts, done))
+        state.setTimeoutDuration(int(keep * 1000))
         status = "done" if done else "given_up" if attempts >= most else "waiting"
         yield pd.DataFrame({"key": [key[0]], "attempts": [attempts], "status": [status], "next_try": [last + pause if status == "waiting" else None]})
 
-    return outcomes.groupBy("key").applyInPandasWithState(update, OUTPUT, "attempts int, done boolean", "update", GroupStateTimeout.NoTimeout)
+    return outcomes.groupBy("key").applyInPandasWithState(update, OUTPUT, "attempts int, done boolean", "update", GroupStateTimeout.ProcessingTimeTimeout)

@@ -5,12 +5,15 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.ranges import since
 from ..functions.values import ZONE, publish_delay_seconds
+from ..sources.tables import checkpoint as cut
+from .retry import MAX_FAILURES, PAUSE_SECONDS
 
 #: A listing shows an item until a minute past the end of its day; nothing is later than that.
 LATENESS = "1 day 1 minute"
@@ -43,5 +46,42 @@ def append_once(stream: DataFrame, key: str, written: Callable[[], DataFrame], w
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def append_until_done(
+    stream: DataFrame, key: str, build: Callable[[DataFrame], DataFrame], written: Callable[[], DataFrame], write: Callable[[DataFrame, int], None],
+    checkpoint: str, trigger: dict | None = None, order: Column | None = None, most: int = MAX_FAILURES, pause: float = PAUSE_SECONDS,
+) -> StreamingQuery:
+    """Appends what `build` makes of the rows; a row of which it makes nothing yet (its page hasn't landed, say) is kept
+    and tried again by later batches, after `pause` seconds, `most` times in all. Then it is left to the backfill.
+
+    Rows that wait are a small table beside the checkpoint, in two folders that are written in turn: a batch reads what
+    the one before it left, so one that is run again starts from the same rows. A key that is done or given up is in it
+    no more. Batches come with every listing snapshot, also with one that has nothing new.
+    """
+    slot = lambda number: f"{checkpoint}/waiting/{number % 2}"
+
+    def left_by(number: int, rows: DataFrame) -> DataFrame:
+        empty = rows.limit(0).select("*", F.lit(0).alias("_tries"), F.current_timestamp().alias("_next"))
+        try:
+            return rows.sparkSession.read.schema(empty.schema).parquet(slot(number)) if number >= 0 else empty
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return empty
+
+    def batch(rows: DataFrame, number: int) -> None:
+        before = left_by(number - 1, rows)
+        now = F.lit(rows.sparkSession.sql("select current_timestamp()").first()[0])
+        new = rows.dropDuplicates([key]).join(before.select(key), key, "left_anti")
+        due = before.where(F.col("_next") <= now).unionByName(new.select("*", F.lit(0).alias("_tries"), now.alias("_next")))
+        due = cut(due.join(written().select(key), key, "left_anti"))
+        done = cut(build(due.drop("_tries", "_next")))
+        write(done if order is None else done.orderBy(order), number)
+        failed = due.join(done.select(key), key, "left_anti").withColumns({"_tries": F.col("_tries") + 1, "_next": now + F.make_dt_interval(secs=F.lit(float(pause)))})
+        wait = before.where(F.col("_next") > now).unionByName(failed.where(F.col("_tries") < most).select(before.columns))
+        wait.coalesce(1).write.mode("overwrite").parquet(slot(number))
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def write_delay(rows: DataFrame, time: str, now: Column, zone: str = ZONE) -> DataFrame:
     return rows.withColumn("delay_seconds", publish_delay_seconds(F.col(time), now, zone))

@@ -107,3 +107,54 @@ def test_plug_in_errors_are_rows(spark):
     links = spark.createDataFrame([(1, 0, "a", "z.pdf", "u"), (1, 1, "b", "a.pdf", "u"), (1, 2, "c", "a.pdf", "u")], "disclosure_index long, pos int, file_id string, file_name string, url string")
     nested = attachments.nest_attachments(links, files.extract_with(data, read).withColumn("disclosure_index", F.lit(1).cast("long"))).first().attachments
     assert [(a.file_id, a.file_type, a.tables) for a in nested] == [("b", "error", []), ("c", "skipped", []), ("a", "pdf", [])]
+
+
+def test_crashes_and_wrong_shapes_cost_one_file(spark):
+    data = [("crash", b"1"), ("half", b"2"), ("shape", b"3"), ("number", b"4"), ("slow", b"5"), ("fine", b"6"), ("none", None)]
+    df = spark.createDataFrame([(a, None if b is None else bytearray(b)) for a, b in data], "file_id string, content binary").coalesce(1)
+
+    def read(content):
+        import os
+        import time
+
+        if content == b"1":
+            os._exit(9)
+        if content == b"5":
+            time.sleep(30)
+        made = {b"2": {"text": "p\ud83dq", "tables": [{"page": 1, "method": "m\udc00", "rows": [["a", None, 3]]}]}, b"3": ["no dict"], b"4": {"page_count": "many"}}
+        return made.get(content, {"file_type": "text", "text": "ok", "unknown": 1})
+
+    got = {r.file_id: r.result for r in files.extract_with(df, read, seconds=3).collect()}
+    assert "exit code 9" in got["crash"].error and got["half"].text == "p?q" and got["half"].tables[0].rows == [["a", None, "3"]]
+    assert {got[x].file_type for x in ("crash", "shape", "number", "slow")} == {"error"} and "more than 3" in got["slow"].error
+    assert got["fine"].text == got["none"].text == "ok"
+
+
+def test_watch_waits_for_late_pages(spark, tmp_path):
+    landed(spark, tmp_path, [1])
+    run = lambda: watch.run(spark, str(tmp_path), str(tmp_path / "out"), str(tmp_path / "state"), datetime.datetime(2026, 10, 8, 9, 20), URL, str(tmp_path / "results"), pause=0).awaitTermination()
+    written = lambda: sorted(r[0] for r in records.read_written_keys(spark, str(tmp_path / "out")).collect())
+    land(tmp_path, [row(1), row(2), row(3)])
+    run()
+    assert written() == [1]
+    landed(spark, tmp_path, [1, 2])
+    land(tmp_path, [row(1)], "b.json")
+    run()
+    assert written() == [1, 2]
+    for name in "cd":
+        land(tmp_path, [row(1)], f"{name}.json")
+        run()
+    landed(spark, tmp_path, [1, 2, 3])
+    land(tmp_path, [row(2)], "e.json")
+    run()
+    assert written() == [1, 2]  # three tries are over: 3 is left to the backfill
+
+
+def test_backfill_reports(spark, tmp_path):
+    land(tmp_path, [row(1), row(2), row(3, day="30.09.2026")])
+    results = landed(spark, tmp_path, [1])
+    args = (spark, str(tmp_path), str(tmp_path / "out"), datetime.date(2026, 9, 1), datetime.date(2026, 10, 8), URL)
+    backfill.run(*args, results, rounds=1)
+    job = backfill.Backfill(*args)
+    assert [tuple(r) for r in job.months().collect()] == [(datetime.date(2026, 10, 1), 2, 1), (datetime.date(2026, 9, 1), 1, 1)]
+    assert [r[0] for r in job.missing().collect()] == [2, 3]
