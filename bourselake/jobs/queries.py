@@ -250,11 +250,7 @@ def carry_section(spark, sf_dir):
 
 
 @query("""
-    select l_orderkey, l_suppkey, min(pos) as pos, arg_max(l_returnflag, pos) as file_name, arg_max(l_linestatus, pos) as url
-    from (select *, row_number() over (order by l_orderkey, l_suppkey, l_partkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate, l_discount, l_tax) as pos from (select distinct * from lineitem)) group by 1, 2
-    having false
-    union all
-    select l_orderkey, l_suppkey, min(l_partkey), arg_max(l_returnflag, struct_pack(a := l_partkey, b := l_returnflag, c := l_linestatus)), arg_max(l_linestatus, struct_pack(a := l_partkey, b := l_returnflag, c := l_linestatus)) from lineitem group by 1, 2
+    select l_orderkey, l_suppkey, min(l_partkey) as pos, arg_max(l_returnflag, struct_pack(a := l_partkey, b := l_returnflag, c := l_linestatus)) as file_name, arg_max(l_linestatus, struct_pack(a := l_partkey, b := l_returnflag, c := l_linestatus)) as url from lineitem group by 1, 2
 """)
 def dedupe_links(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", F.col("l_partkey").alias("pos"), F.col("l_returnflag").alias("file_name"), F.col("l_linestatus").alias("url"))
