@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import binary, names, ranges, text, values
 from ..operators import attachments, listing, pages, records, resume, statements
-from ..schemas import RECORD, RESULT, STATEMENT
+from ..schemas import RECORD, RESULT
 from ..sources import attachments as attachment_files
 from ..sources import listing as listing_files
 from ..sources import pages as page_files
@@ -406,7 +406,13 @@ def page_titles(spark, sf_dir):
     return pages.page_headers(parsed, "page_id").where("title = 'title'").select("page_id", F.col("value").alias("title"))
 
 
-@query()
+@query(r"""
+    with a as (select page_id, regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '(?s)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->|<[^>]*>', chr(10), 'g') as t from pages),
+         u as (select page_id, replace(replace(replace(replace(replace(t, '&quot;', '"'), '&#x27;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as t from a)
+    select page_id, 'legacy' as page_format,
+           array_to_string(list_filter(list_transform(string_split_regex(t, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]'), lambda x: trim(regexp_replace(x, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) as text
+    from u
+""")
 def page_text(spark, sf_dir):
     parsed = page_files.parse_pages(table(spark, sf_dir, "pages"), WEB, "page_id")
     return parsed.select("page_id", pages.page_format().alias("page_format"), pages.page_text().alias("text"))
@@ -539,18 +545,16 @@ def stream_retry(spark, sf_dir):
 
 @query()
 def full_record(spark, sf_dir):
-    """Documents as listing rows, web pages as their pages, labels as attachments: finished records, as JSON."""
+    """Finished records, as JSON: documents as listing rows, web pages as their pages, the files that these link to as
+    attachments, read if the document has a label. Those of documents without one have not landed."""
     docs = table(spark, sf_dir, "documents")
     listed = docs.select(F.col("doc_id").alias("disclosure_index"), F.concat(F.lit("d"), "doc_id").alias("disclosure_id"), F.lit("2026-10-08 09:15:00").cast("timestamp_ntz").alias("publish_date"), F.col("source").alias("stock_code"), F.col("lang").alias("disclosure_class"))
     for f in RECORD.fields[:21]:
         if f.name not in listed.columns:
             listed = listed.withColumn(f.name, F.lit(None).cast(f.dataType))
     parsed = checkpoint(page_files.parse_pages(table(spark, sf_dir, "pages").withColumnRenamed("page_id", "disclosure_index"), WEB))
-    links = names.mark_to_read(pages.page_links(parsed))
-    texts = links.where("to_read").select("disclosure_index", "file_id", attachment_files.result_struct("unsupported").alias("result"))
-    whole = attachments.complete_only(listed, links, texts)
-    none = parsed.select("disclosure_index", F.array().cast(f"array<{STATEMENT.simpleString()}>").alias("financial_statements"))
-    out = records.assemble(whole, pages.page_bodies(parsed), none, attachments.nest_attachments(links, texts))
+    label = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("disclosure_index"), "quality")
+    result = F.when(F.col("quality") == 1, attachment_files.result_struct("text")).otherwise(attachment_files.result_struct("unsupported"))
+    results = pages.page_links(parsed).join(label, "disclosure_index").select("disclosure_index", "file_id", result.alias("result"))
+    out = records.records(listed, parsed, results)
     return out.select("disclosure_index", record_files.record_json(*[f.name for f in RECORD]).alias("record"))
-
-
