@@ -1,16 +1,22 @@
 """Nearest neighbours by an inverted file of coarse centroids with product-quantised residuals.
 
-Training uses a bounded sample (`TRAIN_ROWS` vectors, those of smallest hashed id): k-means centroids of unit
-vectors, then k-means codebooks of the residuals' sub-vectors. Every vector is put into the list of its nearest
-centroid. Lists are cut by hashed id into parts of about `PART_ROWS` rows, so that a list with a third of all
-vectors is many groups. A query goes to the parts of its `probes` nearest lists; a part computes the asymmetric
-distance table of each query once, ranks its codes by table look-ups, and reranks the best `shortlist` of them
-exactly, on the original vectors in double precision. What is broadcast is the model alone: its size is fixed by
-the parameters. Queries are repeated per part, `k` rows per query and part come back.
+The number of lists follows the table: about the square root of its rows, `MAX_LISTS` at most. Training uses a bounded
+sample (`SAMPLE` vectors for each list, those of smallest hashed id, so 64 x 1,024 at most): k-means centroids of unit
+vectors, then k-means codebooks of the residuals' sub-vectors. The sample also tells how many lists a query must look
+into: as few as hold `recall` of the true neighbours that sampled queries have in the sample. In clustered data these
+are a few; in vectors without any structure, such as the given table's, near ones lie in most lists.
+
+Every vector is put into the list of its nearest centroid. Lists are cut by hashed id into parts of about `PART_ROWS`
+rows, so that a list with a third of all vectors is many groups, and the queries of a list into blocks of about
+`QUERY_ROWS`. A query goes to the parts of its nearest lists; a part computes the asymmetric distance tables of its
+queries, ranks its codes by table look-ups, and reranks the best `shortlist` exactly, on the original vectors in double
+precision. What is broadcast is the model alone: its size is bounded by the parameters. `k` rows per query and part come
+back.
 
 Defined cases: vectors that are null, of zero length or norm, of another dimension than most, or hold null or
-non-finite components take no part, neither do rows without vec_id; ties go to the smaller vec_id; rows that
-repeat a vec_id are candidates each, but never for a query of that vec_id; an empty table gives an empty result.
+non-finite components take no part, neither do rows without vec_id; scores that are equal to twelve digits are ties and
+go to the smaller vec_id; rows that repeat a vec_id are candidates each, but never for a query of that vec_id; other
+columns don't matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,8 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TRAIN_ROWS = 20_000
-PART_ROWS = 2_000
+from . import words as W
+
+MAX_LISTS, SAMPLE = 1_024, 64
+PART_ROWS, QUERY_ROWS = 2_000, 20_000
+#: Queries of a part whose distances are held at once.
+AT_ONCE = 128
 
 
 class Model(NamedTuple):
@@ -58,9 +68,8 @@ def k_means(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     return centres
 
 
-def train(sample: np.ndarray, lists: int, parts: int, codes: int = 64, rounds: int = 8, seed: int = 1) -> Model:
-    """Centroids and codebooks from unit vectors, a row each."""
-    sample = np.unique(sample, axis=0)  # a vector that many rows share counts once
+def train(sample: np.ndarray, lists: int, parts: int, codes: int = 256, rounds: int = 8, seed: int = 1) -> Model:
+    """Centroids and codebooks from different unit vectors, a row each."""
     centroids = k_means(sample, lists, rounds, seed)
     residual = sample - centroids[nearest(sample, centroids)]
     parts = max(p for p in range(1, parts + 1) if sample.shape[1] % p == 0)
@@ -69,16 +78,36 @@ def train(sample: np.ndarray, lists: int, parts: int, codes: int = 64, rounds: i
     return Model(centroids, np.stack([np.concatenate([b, np.repeat(b[:1], most - len(b), axis=0)]) for b in books]))
 
 
+def enough_probes(sample: np.ndarray, centroids: np.ndarray, k: int, recall: float, most: int = 512) -> int:
+    """How many nearest lists hold `recall` of the k nearest in the sample, by up to `most` of its vectors as queries."""
+    k = min(k, len(sample) - 1)
+    if not k:
+        return len(centroids)
+    own = np.arange(0, len(sample), -(-len(sample) // most))
+    score = sample[own] @ sample.T
+    score[np.arange(len(own)), own] = -np.inf
+    near = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    turn = by_distance(sample[own], centroids).argsort(axis=1)  # of each list its place in the query's order
+    there = np.take_along_axis(turn, nearest(sample, centroids)[near], axis=1)
+    return int(np.quantile(there, recall, method="higher")) + 1
+
+
+def by_distance(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Lists in the order of their distance, for each vector."""
+    return ((centroids**2).sum(axis=1) / 2 - x @ centroids.T).argsort(axis=1, kind="stable")
+
+
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding (array of doubles) of the rows that take part."""
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    """vec_id and embedding (floats if they are, else doubles) of the rows that take part."""
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return v.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad & F.exists("embedding", lambda x: x != 0))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1)
+    return values.reshape(len(column), -1).astype(np.float64)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -86,7 +115,30 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int = 64, probes: int = 40, parts: int = 16, shortlist: int = 400, train_rows: int = TRAIN_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
+def rank(queries: tuple[np.ndarray, np.ndarray], members: tuple[np.ndarray, np.ndarray], m: Model, at: int, k: int, shortlist: int) -> tuple[np.ndarray, ...]:
+    """query_id, vec_id and score of the k best of one list's members (ids in order, unit vectors) for each query."""
+    (q_ids, q), (ids, x) = queries, members
+    codes = m.codes(x, np.full(len(x), at)).astype(np.intp)
+    width, out = m.codebooks.shape[2], []
+    for i in range(0, len(q), AT_ONCE):
+        own, now = q_ids[i : i + AT_ONCE], q[i : i + AT_ONCE]
+        rest, far = now - m.centroids[at], np.zeros((len(now), len(ids)))
+        for j, book in enumerate(m.codebooks):  # asymmetric: the query itself against every code
+            part = rest[:, j * width : (j + 1) * width]
+            table = ((part[:, None, :] - book[None]) ** 2).sum(axis=2)
+            far += table[:, codes[:, j]]
+        far[own[:, None] == ids[None]] = np.inf
+        near = np.argsort(far, axis=1, kind="stable")[:, :shortlist]  # of equal codes the smaller ids
+        score = (x[near] * now[:, None, :]).sum(axis=2)
+        score[~np.isfinite(np.take_along_axis(far, near, axis=1))] = -np.inf
+        top = np.lexsort((ids[near], -score.round(12)))[:, :k]
+        found = np.take_along_axis(score, top, axis=1)
+        there = np.isfinite(found)
+        out.append((np.broadcast_to(own[:, None], found.shape)[there], ids[np.take_along_axis(near, top, axis=1)][there], found[there]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None = None, recall: float = 0.97, parts: int = 16, shortlist: int = 32, part_rows: int = PART_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine) of the k nearest that are found for each row of `is_query`."""
     result = "query_id long, rank int, vec_id long, score double"
     spark, own = vectors.sparkSession, usable(vectors)
@@ -94,53 +146,68 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int = 64, pr
     if size is None:
         return spark.createDataFrame([], result)
     own = own.where(F.size("embedding") == size["n"])
-    rows = own.select("embedding").orderBy(F.xxhash64("vec_id"), "vec_id").limit(train_rows).toArrow()["embedding"].combine_chunks()
-    model = spark.sparkContext.broadcast(train(unit(matrix(rows)), lists, parts))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.append_column("list", pa.array(nearest(unit(matrix(batch.column("embedding"))), model.value.centroids).astype(np.int32)))
-
-    placed = own.mapInArrow(place, "vec_id long, embedding array<double>, list int")
-    # the cuts of each list follow its size: a list with a third of all rows has parts like any other
-    heights = placed.groupBy("list").agg(F.greatest(F.ceil(F.count("*") / part_rows), F.lit(1)).cast("int").alias("cuts")).collect()  # a row per list
-    height = F.create_map(*[x for r in heights for x in (F.lit(r["list"]), F.lit(r["cuts"]))])
-    indexed = placed.withColumn("part", F.pmod(F.xxhash64("vec_id"), height[F.col("list")]).cast("int"))
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                c = model.value.centroids
-                near = ((c**2).sum(axis=1) / 2 - unit(matrix(batch.column("embedding"))) @ c.T).argsort(axis=1, kind="stable")[:, :probes]
-                which = pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1]))
-                yield batch.take(which).append_column("list", pa.array(near.ravel().astype(np.int32)))
-
-    asked = own.where(is_query).mapInArrow(probe, "vec_id long, embedding array<double>, list int")
-    asked = asked.where(height[F.col("list")].isNotNull()).withColumn("part", F.explode(F.sequence(F.lit(0), height[F.col("list")] - 1)))
+    lists = lists or int(np.clip(round(size["count"] ** 0.5), 16, MAX_LISTS))
+    rows = own.select("embedding").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE * lists).toArrow()["embedding"].combine_chunks()
+    sample = np.unique(unit(matrix(rows)), axis=0)
+    trained = train(sample, lists, parts)
+    probes = enough_probes(sample, trained.centroids, k, recall)
+    model = spark.sparkContext.broadcast(trained)
+    asking = own.where(is_query)
+
+    def places(batch: pa.RecordBatch, most: int) -> np.ndarray:
+        return by_distance(unit(matrix(batch.column("embedding"))), model.value.centroids)[:, :most]
+
+    def counted(rows: DataFrame, most: int) -> np.ndarray:
+        """How many of the rows have each list among their nearest."""
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros(lists, np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    sums += np.bincount(places(batch, most).ravel(), minlength=lists)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(lists)), pa.array(sums)], ["list", "n"])
+
+        out = np.zeros(lists, np.int64)
+        for r in rows.mapInArrow(count, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():  # a row per list
+            out[r["list"]] = r["n"]
+        return out
+
+    # the cuts of each list follow its size: a cell is a part of its members with a block of its queries
+    cuts, blocks = np.maximum(-(-counted(own, 1) // part_rows), 1), np.maximum(-(-counted(asking, probes) // query_rows), 1)
+    first = np.concatenate([[0], np.cumsum(cuts * blocks)])
+
+    def to_cells(most: int, of_members: bool):
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                at = places(batch, most)
+                row, at = np.repeat(np.arange(batch.num_rows), at.shape[1]), at.ravel()
+                drawn = W.mix(batch.column("vec_id").to_numpy().view(np.uint64).copy())[row]
+                part, block = (drawn % cuts[at].astype(np.uint64)).astype(np.int64), (drawn % blocks[at].astype(np.uint64)).astype(np.int64)
+                times = (blocks if of_members else cuts)[at]
+                step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                row, at, part, block = (np.repeat(v, times) for v in (row, at, part, block))
+                cell = first[at] + (part * blocks[at] + step if of_members else step * blocks[at] + block)
+                for i in range(0, len(row), 10_000):
+                    yield batch.take(pa.array(row[i : i + 10_000])).append_column("list", pa.array(at[i : i + 10_000].astype(np.int32))).append_column("cell", pa.array(cell[i : i + 10_000]))
+
+        return deal
+
+    kind = f"vec_id long, embedding {dict(own.dtypes)['embedding']}, list int, cell long"
+    indexed, asked = own.mapInArrow(to_cells(1, True), kind), asking.mapInArrow(to_cells(probes, False), kind)
     best = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
-    def scan(key, queries: pa.Table, members: pa.Table) -> pa.Table:
+    def in_order(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(rows["vec_id"].to_numpy(), kind="stable")
+        return rows["vec_id"].to_numpy()[order], unit(matrix(rows["embedding"].combine_chunks())[order])
+
+    def scan(key, queries, members):
         if not len(queries) or not len(members):
             return best.empty_table()
-        m, at = model.value, key[0].as_py()
-        order = np.argsort(members["vec_id"].to_numpy(), kind="stable")
-        ids = members["vec_id"].to_numpy()[order]
-        x = unit(matrix(members["embedding"].combine_chunks())[order])
-        codes = m.codes(x, np.full(len(x), at)).astype(np.intp)
-        books, width = m.codebooks, m.codebooks.shape[2]
-        out = []
-        for q_id, q in zip(queries["vec_id"].to_pylist(), unit(matrix(queries["embedding"].combine_chunks())), strict=True):
-            rest = (q - m.centroids[at]).reshape(-1, 1, width)
-            tables = ((rest - books) ** 2).sum(axis=2)  # asymmetric: the query itself against every code
-            far = tables[np.arange(len(books)), codes].sum(axis=1)
-            far[ids == q_id] = np.inf
-            near = np.argsort(far, kind="stable")[: min(shortlist, int((ids != q_id).sum()))]
-            score = (x[near] * q).sum(axis=1)
-            top = np.lexsort((ids[near], -score))[:k]
-            out.append((np.full(len(top), q_id), ids[near][top], score[top]))
-        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=best)
-
-    found = asked.groupBy("list", "part").cogroup(indexed.groupBy("list", "part")).applyInArrow(scan, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        found = rank(in_order(queries), in_order(members), model.value, members["list"][0].as_py(), k, shortlist)
+        return pa.Table.from_arrays([pa.array(c) for c in found], schema=best)
+
+    found = asked.groupBy("cell").cogroup(indexed.groupBy("cell")).applyInArrow(scan, "query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
