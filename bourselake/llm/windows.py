@@ -13,7 +13,8 @@ chunks. A passage that a third
 of all documents share is one entry per chunk. The plan has one exchange of the documents, used by all rounds.
 
 Defined cases: a null or empty text has no words; a document of fewer words than a window loses none; rows with
-equal doc_id don't cover each other; a null doc_id comes after all others; an empty table gives an empty result.
+equal doc_id don't cover each other; a null doc_id comes after all others; very long texts are read whole, each by one
+task; other columns don't matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .shared import shuffle_partitions
 
 #: Rows of the count-min sketch, and cells of a row per window if a chunk holds CHUNK_WINDOWS windows.
 DEPTH, SPARE_BITS, CHUNK_WINDOWS = 2, 3, 1 << 22
+#: Bytes of text of a chunk: at least, and at most.
+CHUNK_BYTES, MAX_CHUNK_BYTES = 8 << 20, 256 << 20
 NO_ID = np.iinfo(np.int64).max
 
 #: The two rounds of messages, and what stands before the cells of a sketch row.
@@ -255,13 +257,18 @@ def kept_texts(words: W.Words, covered: np.ndarray) -> list[bytes]:
     return [data[starts[b - n] : ends[b - 1]] if n else b"" for n, b in zip(left.tolist(), last.tolist(), strict=True)]
 
 
+def chunk_count(size: int) -> int:
+    """A chunk's bytes grow with the root of all bytes, within bounds, so that chunks fit tasks and messages stay large."""
+    return max(1, -(-size // int(min(max((size << 18) ** 0.5, CHUNK_BYTES), MAX_CHUNK_BYTES))))
+
+
 def dedup(docs: DataFrame, window: int = 13, chunks: int | None = None, text: bool = True) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and, if `text`, the kept text.
 
     Removed is each word in a window of `window` words that also starts in a document with a smaller doc_id.
-    `chunks`: by default two for each of the session's shuffle partitions.
+    `chunks`: by default from the bytes of all texts, see `chunk_count`.
     """
-    chunks = chunks or 2 * shuffle_partitions(docs.sparkSession)
+    chunks = chunks or chunk_count(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     plan = Plan(window, min(62, (chunks * CHUNK_WINDOWS - 1).bit_length() + SPARE_BITS), -(-chunks // 3))
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(key, F.lit(chunks)).cast("int").alias("chunk"))
