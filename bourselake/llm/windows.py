@@ -34,7 +34,7 @@ from . import words as W
 #: Rows of the count-min sketch, and cells of a row per window if a chunk holds CHUNK_WINDOWS windows.
 DEPTH, SPARE_BITS, CHUNK_WINDOWS = 2, 3, 1 << 22
 #: Bytes of text of a chunk: at least, and at most.
-CHUNK_BYTES, MAX_CHUNK_BYTES = 8 << 20, 256 << 20
+CHUNK_BYTES, MAX_CHUNK_BYTES = 4 << 20, 256 << 20
 NO_ID = np.iinfo(np.int64).max
 
 #: The two rounds of messages, and what stands before the cells of a sketch row.
@@ -259,7 +259,7 @@ def kept_texts(words: W.Words, covered: np.ndarray) -> list[bytes]:
 
 def chunk_count(size: int) -> int:
     """A chunk's bytes grow with the root of all bytes, within bounds, so that chunks fit tasks and messages stay large."""
-    return max(1, -(-size // int(min(max((size << 18) ** 0.5, CHUNK_BYTES), MAX_CHUNK_BYTES))))
+    return max(1, -(-size // int(min(max((size << 16) ** 0.5, CHUNK_BYTES), MAX_CHUNK_BYTES))))
 
 
 def dedup(docs: DataFrame, window: int = 13, chunks: int | None = None, text: bool = True) -> DataFrame:
