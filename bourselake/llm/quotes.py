@@ -1,20 +1,25 @@
 """Quotation linking: which earlier message a chat message quotes, and the conversation without the quotes.
 
 Lines that begin with ``>`` marks are quoted, their number is the quote level; a passage is a run of quoted lines of
-one level. Lines are normalised (marks off, white space collapsed, lower case) and hashed. The lines that are quoted
-anywhere in a conversation meet the same lines of earlier messages in one sorted pass per (conversation, line), which
-gives the latest earlier message that holds the line as its own, and how many do. A passage belongs to the message
-that holds most of its lines, the latest of equals. Where one message is the latest holder of all lines that any
-holds, it is that one. For other passages the votes of the latest holders are a least count, so the winner holds one
-of the rarest lines that together exceed what it may miss: the holders of these are the candidates, and all lines of
-the passage are counted for each. Messages whose lines nobody quotes drop out before that.
+one level. Lines are normalised (marks off, white space collapsed, lower case), blank ones don't count. Passages are
+hashed and joined to the equal runs of own lines of earlier messages; the latest message that holds such a run is the
+original. The hash of a run of n lines is made of those of its first and its last 2^k lines, k the greatest with
+2^k <= n, and these of halves in turn. So a message has a hash for each line and power of two, however many lengths
+are quoted: runs are found by one join on the first 2^k lines and one on the last.
+
+Passages that no message holds as one run (shortened, wrapped, edited) belong to the earlier message that holds most of
+their lines, the latest of equals. Lines that are quoted meet the same lines of earlier messages in one sorted pass per
+(conversation, line), which gives the latest message that holds the line as its own, and how many do. Where one message
+is the latest holder of all lines that any holds, it is that one. For other passages the votes of the latest holders
+are a least count, so the winner holds one of the rarest lines that together exceed what it may miss: the holders of
+these are the candidates, and all lines of the passage are counted for each.
 
 Replies follow what they answer: a message whose first passage is linked goes to the thread of the linked message,
 others begin one; (thread, turn) is the order of the conversation. Threads are found by pointer doubling, a
 checkpoint per step. A line such as ``On Monday Ann wrote:`` right before a quote goes with the quote.
 
-Defined cases: null and empty texts have no lines and stay; a null conv_id or turn takes no part in linking; rows that repeat
-(conv_id, turn) are quoted as one message; other columns don't matter; an empty table gives an empty result.
+Defined cases: null and empty texts have no lines and stay; a null conv_id or turn takes no part in linking; equal rows
+quote once, other rows that share (conv_id, turn) quote and are quoted as one message; other columns don't matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -52,7 +57,10 @@ def parse(messages: DataFrame) -> DataFrame:
 def quoted_lines(parsed: DataFrame) -> DataFrame:
     """conv_id, turn, passage (a number within the message), level, hash of each quoted line that isn't blank."""
     row = F.posexplode("lines").alias("at", "x")
-    found = parsed.where("levels > 0 and conv_id is not null and turn is not null").select("conv_id", "turn", row)
+    asking = parsed.where("levels > 0 and conv_id is not null and turn is not null")
+    # dealt by message first, so that equal rows are dropped and passages counted in one exchange
+    asking = asking.select("conv_id", "turn", "lines", F.xxhash64("text").alias("copy")).repartition("conv_id", "turn").dropDuplicates(["conv_id", "turn", "copy"])
+    found = asking.select("conv_id", "turn", row)
     order = Window.partitionBy("conv_id", "turn").orderBy("at")
     found = found.select("conv_id", "turn", "at", "x.*").withColumn("new", (F.col("level") != F.lag("level", 1, 0).over(order)).cast("int"))
     found = found.withColumn("passage", F.sum("new").over(order)).where("level > 0").withColumn("line", normal(F.col("body")))
@@ -78,25 +86,73 @@ def counted(best: DataFrame, found: DataFrame, own: DataFrame) -> DataFrame:
     return best.join(unsure, key, "left_anti").select(*key, "best").unionByName(sure)
 
 
-def links(parsed: DataFrame) -> DataFrame:
-    """conv_id, turn, passage, level, passage_hash, n_lines, n_matched, linked_turn (null: no original) of each passage."""
-    key = ["conv_id", "turn", "passage"]
-    asked = checkpoint(quoted_lines(parsed))
-    sought = asked.select("conv_id", "line").distinct()
+def own_lines(parsed: DataFrame, asked: DataFrame) -> DataFrame:
+    """conv_id, turn, copy (of rows that repeat these), at, line: the own lines of all messages in conversations that quote."""
     own = parsed.where("conv_id is not null and turn is not null").join(asked.select("conv_id").distinct(), "conv_id", "left_semi")
-    own = own.select("conv_id", "turn", F.explode(F.filter("lines", lambda x: x["own"])).alias("x")).withColumn("line", F.xxhash64(normal(F.col("x.body")))).select("conv_id", "line", "turn").distinct()
-    own = checkpoint(own.join(sought, ["conv_id", "line"], "left_semi"))
-    both = own.select("conv_id", "line", "turn", F.lit(None).cast("int").alias("at"), F.lit(None).cast("long").alias("passage")).unionByName(asked.select("conv_id", "line", "turn", "at", "passage"))
-    earlier = Window.partitionBy("conv_id", "line").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    bodies = F.filter(F.transform(F.filter("lines", lambda x: x["own"]), lambda x: normal(x["body"])), lambda x: x != "")
+    own = own.select("conv_id", "turn", F.transform(bodies, lambda x: F.xxhash64(x)).alias("hashes"))
+    own = own.withColumn("copy", F.xxhash64("hashes")).dropDuplicates(["conv_id", "turn", "copy"])
+    return own.select("conv_id", "turn", "copy", F.posexplode("hashes").alias("at", "line"))
+
+
+def blocks(rows: DataFrame, key: list[str], most: int) -> DataFrame:
+    """key, at, k, hash: a row for each line and each k to `most`, with the hash of the 2^k lines from there on."""
+    order = Window.partitionBy(*key).orderBy("at")
+    rows = rows.select(*key, "at", F.col("line").alias("hash_0"))
+    for k in range(most):
+        half = F.lead(f"hash_{k}", 2**k).over(order)
+        rows = rows.withColumn(f"hash_{k + 1}", F.when(half.isNotNull(), F.xxhash64(f"hash_{k}", half)))
+    each = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"hash_{k}").alias("hash")) for k in range(most + 1)])
+    return rows.select(*key, "at", F.explode(each).alias("x")).select(*key, "at", "x.k", "x.hash").where("hash is not null")
+
+
+def latest(holders: DataFrame, asked: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of `asked` that have an earlier holder (key, turn), with `source`, the latest one, and `holders`, their number."""
+    both = asked.unionByName(holders.select(*key, "turn"), allowMissingColumns=True)
+    earlier = Window.partitionBy(*key).orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     holder = F.when(F.col("passage").isNull(), F.col("turn"))
-    found = both.withColumns({"source": F.max(holder).over(earlier), "holders": F.count(holder).over(earlier)}).where("passage is not null and source is not null")
+    return both.withColumns({"source": F.max(holder).over(earlier), "holders": F.count(holder).over(earlier)}).where("passage is not null and source is not null")
+
+
+def whole(passages: DataFrame, held: DataFrame) -> DataFrame:
+    """conv_id, turn, passage, source of the passages that an earlier message holds as one run of its own lines."""
+    sought = passages.select("conv_id", "k", F.col("head").alias("hash"), "tail", "passage_hash", "skip").distinct()
+    begun = held.join(sought, ["conv_id", "k", "hash"]).select("conv_id", "turn", "copy", (F.col("at") + F.col("skip")).alias("at"), "k", F.col("tail").alias("hash"), "passage_hash")
+    holders = begun.join(held, ["conv_id", "turn", "copy", "at", "k", "hash"], "left_semi").select("conv_id", "passage_hash", "turn").distinct()
+    return latest(holders, passages.select("conv_id", "passage_hash", "turn", "passage"), ["conv_id", "passage_hash"]).select("conv_id", "turn", "passage", "source")
+
+
+def by_lines(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """conv_id, turn, passage, best (n, source) of the passages in `asked` of which an earlier message holds a line."""
+    key = ["conv_id", "turn", "passage"]
+    own = held.where("k = 0").select("conv_id", F.col("hash").alias("line"), "turn").distinct()
+    own = checkpoint(own.join(asked.select("conv_id", "line").distinct(), ["conv_id", "line"], "left_semi"))
+    found = latest(own, asked.select("conv_id", "line", "turn", "at", "passage"), ["conv_id", "line"])
     found = checkpoint(found.groupBy(*key, "line", "source", "holders").agg(F.count("*").alias("weight")))
     votes = found.groupBy(*key, "source").agg(F.sum("weight").alias("n"))
     best = votes.groupBy(*key).agg(F.max(F.struct("n", "source")).alias("best"), F.sum("n").alias("matched"))
-    best = counted(checkpoint(best), found, own)
-    passages = asked.groupBy("conv_id", "turn", "passage", "level").agg(F.count("*").alias("n_lines"), F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"])).alias("passage_hash"))
-    out = passages.join(best, key, "left")
-    return out.select("conv_id", "turn", "passage", "level", "passage_hash", "n_lines", F.coalesce("best.n", F.lit(0).cast("long")).alias("n_matched"), F.col("best.source").alias("linked_turn"))
+    return counted(checkpoint(best), found, own)
+
+
+def links(parsed: DataFrame) -> DataFrame:
+    """conv_id, turn, passage, level, passage_hash, n_lines, n_matched, linked_turn (null: no original) of each passage."""
+    key = ["conv_id", "turn", "passage"]
+    asked = quoted_lines(parsed)
+    placed = F.row_number().over(Window.partitionBy(*key).orderBy("at", "line")) - 1
+    asked = checkpoint(asked.withColumns({"at": placed, "n_lines": F.count("*").over(Window.partitionBy(*key))}))
+    longest = asked.agg(F.max("n_lines")).first()[0] or 1
+    most = longest.bit_length() - 1
+    first = asked.where("at = 0").select(*key, "level", "n_lines", (F.length(F.bin("n_lines")) - 1).alias("k")).withColumn("skip", F.expr("n_lines - shiftleft(1L, k)"))
+    ends = blocks(asked, key, most).join(first, [*key, "k"])
+    passages = ends.groupBy(*key, "level", "n_lines", "k", "skip").agg(F.max(F.when(F.col("at") == 0, F.col("hash"))).alias("head"), F.max(F.when(F.col("at") == F.col("skip"), F.col("hash"))).alias("tail"))
+    passages = checkpoint(passages.withColumn("passage_hash", F.xxhash64("n_lines", "head", "tail")))
+    needed = passages.select("conv_id", "k", F.explode(F.array("head", "tail")).alias("hash")).unionByName(asked.select("conv_id", F.lit(0).alias("k"), F.col("line").alias("hash")))
+    held = checkpoint(blocks(own_lines(parsed, asked), ["conv_id", "turn", "copy"], most).join(needed.distinct(), ["conv_id", "k", "hash"], "left_semi"))
+    exact = checkpoint(whole(passages, held))
+    best = by_lines(asked.join(exact, key, "left_anti"), held).select(*key, "best.n", F.col("best.source").alias("nearest"))
+    out = passages.join(exact, key, "left").join(best, key, "left")
+    n_matched = F.when(F.col("source").isNotNull(), F.col("n_lines")).otherwise(F.coalesce("n", F.lit(0).cast("long")))
+    return out.select(*key, "level", "passage_hash", "n_lines", n_matched.alias("n_matched"), F.coalesce("source", "nearest").alias("linked_turn"))
 
 
 def threads(replies: DataFrame) -> DataFrame:

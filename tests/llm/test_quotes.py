@@ -11,6 +11,10 @@ def norm(x):
     return re.sub(r"\s+", " ", x, flags=re.A).strip(" ").lower()
 
 
+def holds_run(own, body):
+    return any(own[i : i + len(body)] == body for i in range(len(own)))
+
+
 def plain(rows):
     """Brute force over every pair of messages of a conversation."""
     parsed = {}
@@ -34,6 +38,10 @@ def plain(rows):
         got = []
         for k, (lv, body) in enumerate(passages):
             votes = {}
+            runs = [t2 for (c2, t2), (_, _, l2, o2) in parsed.items() if c2 == c and t2 < t and holds_run([norm(b) for (_, b), o in zip(l2, o2) if o and norm(b)], body)]
+            if runs:
+                got.append((lv, k, max(runs)))
+                continue
             for line in body:
                 holders = [t2 for (c2, t2), (_, _, l2, o2) in parsed.items() if c2 == c and t2 < t and line in {norm(b) for (_, b), o in zip(l2, o2) if o}]
                 if holders:
@@ -110,13 +118,32 @@ def test_all_holders_of_a_line_are_counted(spark):
             own = [f"line {rng.randrange(7)}" for _ in range(rng.randrange(1, 5))]
             quoted = [f"> line {rng.randrange(8)}" for _ in range(rng.randrange(5))]
             messages.append((c, t, "u", "\n".join(quoted + own)))
-    held = {(c, t): {x for x in text.lower().split("\n") if x[0] != ">"} for c, t, _, text in messages}
+    held = {(c, t): [x for x in text.lower().split("\n") if x[0] != ">"] for c, t, _, text in messages}
     want = {}
     for c, t, _, text in messages:
         asked = [x[2:].lower() for x in text.split("\n") if x[0] == ">"]
-        votes = [(sum(x in held[c, s] for x in asked), s) for s in range(t) if (c, s) in held]
+        votes = [(holds_run(held[c, s], asked), sum(x in held[c, s] for x in asked), s) for s in range(t) if (c, s) in held]
         if asked:
-            n, s = max(votes, default=(0, None))
+            _, n, s = max(votes, default=(False, 0, None))
             want[c, t] = (n, s if n else None)
     got = {(r.conv_id, r.turn): (r.n_matched, r.linked_turn) for r in O.links(O.parse(spark.createDataFrame(messages, SCHEMA))).collect()}
     assert want[0, 3] == (3, 1) and got == want
+
+
+def test_passages_are_joined_to_runs_of_earlier_messages(spark):
+    rng = random.Random(5)
+    messages = [(0, 1, "u", "a\n\nb\nc\nd\ne"), (0, 2, "u", "e\nd\nc\nb\na"), (0, 3, "u", "> b\n>\n> c\n> d"), (0, 4, "u", "> c\n> b\n> e")]
+    for t in range(40):
+        own = [f"line {rng.randrange(2)}" for _ in range(rng.randrange(1, 40))]
+        quoted = [f"> line {rng.randrange(2)}" for _ in range(rng.randrange(8))]
+        messages.append((1, t, "u", "\n".join(quoted + own)))
+    messages += [(2, 0, "u", "\n".join(f"row {i}" for i in range(3000))), (2, 1, "u", "row 3\nrow 2500"), (2, 2, "u", "\n".join(f"> row {i}" for i in range(1, 2900)))]
+    df = spark.createDataFrame(messages + messages[:5], SCHEMA)
+    got = {(r.conv_id, r.turn): (r.n_lines, r.n_matched, r.linked_turn) for r in O.links(O.parse(df)).collect()}
+    assert got[0, 3] == (3, 3, 1) and got[0, 4] == (3, 3, 2) and got[2, 2] == (2899, 2899, 0)
+    held = {t: [x for x in text.split("\n") if x[0] != ">"] for c, t, _, text in messages if c == 1}
+    for c, t, _, text in messages:
+        asked = [x[2:] for x in text.split("\n") if c == 1 and x[0] == ">"]
+        runs = [s for s in range(t) if holds_run(held.get(s, []), asked)]
+        if asked and runs:
+            assert got[1, t] == (len(asked), len(asked), max(runs))
