@@ -21,13 +21,16 @@ scored whole; without any training text the language is null, and `keep_identifi
 
 from __future__ import annotations
 
+import html
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
 from .shared import checkpoint
@@ -63,14 +66,16 @@ def trigrams(t: W.Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(rows: DataFrame, train_texts: int = TRAIN_TEXTS) -> Model:
-    """`rows`: text and language. Of a language with more than `train_texts` rows, a sample by the hash of the text."""
-    rows = rows.where(F.col("language").isNotNull() & (F.length("text") > 0))
-    counts = {r["language"]: r["count"] for r in rows.groupBy("language").count().collect()}  # a row per language
-    languages = sorted(counts)
+    """`rows`: text and language. Of a language with more than `train_texts` distinct texts, a sample by their hashes,
+    which holds the one of the smallest hash in any case."""
+    rows = rows.where(F.col("language").isNotNull() & (F.length("text") > 0)).withColumn("hash", F.shiftrightunsigned(F.xxhash64("text"), 24))
+    kept = rows.select("language", "hash").distinct().groupBy("language").agg(F.count("*").alias("texts"), F.min("hash").alias("least")).collect()  # a row per language
+    languages = sorted(r.language for r in kept)
     if not languages:
         return Model([], np.zeros((0, BUCKETS)))
-    kinds = rows.sparkSession.createDataFrame([(x, i, min(2**40, int(2**40 * train_texts / counts[x]))) for i, x in enumerate(languages)], "language string, number long, most long")
-    chosen = rows.join(F.broadcast(kinds), "language").where(F.shiftrightunsigned(F.xxhash64("text"), 24) < F.col("most"))
+    most = {r.language: max(r.least + 1, min(2**40, 2**40 * train_texts // r.texts)) for r in kept}
+    kinds = rows.sparkSession.createDataFrame([(x, i, most[x]) for i, x in enumerate(languages)], "language string, number long, most long")
+    chosen = rows.join(F.broadcast(kinds), "language").where(F.col("hash") < F.col("most"))
     chosen = chosen.select("text", "number").distinct()  # a text that many rows share counts once
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,11 +173,20 @@ def primary_tag(tag: Column) -> Column:
 _REGISTERED = r"[^.]+\.(?:ac|co|com|edu|go|gov|ne|net|or|org)\.[a-z]{2}$|[^.]+\.[^.]+$|^[^.]+$"
 
 
+ENTITY = "&#?[A-Za-z0-9]+"
+
+
+@F.pandas_udf(T.StringType())
+def unescaped(s: pd.Series) -> pd.Series:
+    return s.map(html.unescape, na_action="ignore")
+
+
 def web_pages(pages: DataFrame) -> DataFrame:
     """page_id, visible text, declared language and the parts of the address of web pages."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
     tag = F.regexp_extract("html", r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z_-]+)", 1)
-    text = F.regexp_replace("html", r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[A-Za-z#0-9]+;", " ")
+    text = F.regexp_replace("html", r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    text = F.when(text.rlike(ENTITY), unescaped(F.when(text.rlike(ENTITY), text))).otherwise(text)  # others stay out of Python
     named = pages.select(F.col("page_id").cast("long").alias("page_id"), text.alias("text"), primary_tag(tag).alias("declared"), host.alias("host"))
     return named.withColumns({"domain": F.regexp_extract("host", _REGISTERED, 0), "suffix": F.regexp_extract("host", r"\.([^.]+)$", 1)})
 

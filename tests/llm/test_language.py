@@ -1,4 +1,5 @@
 import collections
+import html.parser
 import math
 import random
 
@@ -83,8 +84,45 @@ def test_every_language_is_a_class(spark):
     got = O.text_scores(df.where("language like 'l%'").withColumnRenamed("language", "lang"), model)
     assert got.where("lang <> text_language").count() == 0
     copies = df.unionByName(spark.createDataFrame([(f"{words['l000']} zz", "l001")] * 500, df.schema))
-    capped = O.train(copies, train_texts=1)
-    assert set(capped.languages) <= set(words)
+    assert O.train(copies, train_texts=1).languages == sorted(words)
+
+
+def test_a_language_of_copies_is_a_class(spark):
+    copies = spark.range(200_000).select(F.format_string("xylo zebra quartz %d", F.col("id") % 8).alias("text"), F.lit("xx").alias("language"))
+    others = spark.range(3_000).select(F.format_string("mellow river lantern %d", "id").alias("text"), F.lit("yy").alias("language"))
+    model = O.train(copies.unionByName(others), train_texts=100)
+    assert model.languages == ["xx", "yy"]
+    assert [r.text_language for r in O.text_scores(spark.createDataFrame([("zebra xylo",), ("lantern river",)], "text string"), model).collect()] == ["xx", "yy"]
+
+
+def test_web_pages_against_a_plain_parser(spark, small):
+    class Plain(html.parser.HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.hidden, self.out = [], []
+
+        def handle_starttag(self, tag, attrs):
+            self.hidden += [tag] * (tag in ("script", "style", "head"))
+
+        def handle_endtag(self, tag):
+            if self.hidden and self.hidden[-1] == tag:
+                self.hidden.pop()
+
+        def handle_data(self, data):
+            self.out += [data] * (not self.hidden)
+
+    pages = spark.read.parquet(f"{small}/pages.parquet").select("page_id", "url", "html")
+    own = spark.createDataFrame([(-1, "https://www.a.co.uk/x", "<html lang=de><p>caf&eacute; na&#239;ve a &lt; b &amp;c</p>"), (-2, None, None)], PAGES)
+    got = {r.page_id: r.text for r in O.web_pages(pages.unionByName(own)).collect()}
+    for r in pages.unionByName(own).collect():
+        if r.html is None:
+            assert got[r.page_id] is None
+            continue
+        plain = Plain()
+        plain.feed(r.html)
+        plain.close()
+        assert got[r.page_id].split() == " ".join(plain.out).split()
+    assert got[-1].split() == ["café", "naïve", "a", "<", "b", "&c"]
 
 
 def test_text_model_against_plain(spark):
