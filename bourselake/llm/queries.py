@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, neighbours, quality, quotes, simhash, surrogates, tokencount, windows
+from . import decontaminate, language, mixing, neighbours, quality, quotes, repair, simhash, surrogates, tokencount, windows
 from .shared import table
 
 #: The key of the registered query and the pipeline; real runs pass a secret of their own.
@@ -59,6 +59,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
@@ -70,8 +74,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
     "op10_decontaminate": op10_decontaminate,
+    "op12_repair": op12_repair,
 }
 
+#: CRC-32 of the bytes in a list, with the table in column `tab`.
+_CRC = "xor(list_reduce(list_prepend(4294967295, {}), lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])), 4294967295)"
+_TAB = "t as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as tab)"
+
 ORACLES: dict[str, str] = {
     "op1_mix_sources": rf"""
         with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
@@ -121,4 +130,32 @@ ORACLES: dict[str, str] = {
                coalesce(l.length, 0) as longest_match, l.start as longest_start, l.id as longest_item
         from w left join c on c.r = w.r left join a on a.r = w.r left join l on l.r = w.r where w.item = 0
     """,
+    "op12_repair": rf"""
+        with recursive {_TAB},
+             k as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, tab, list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: unicode(x)) as bytes from conversations, t),
+             f as (select conv_id, turn, role, text, {_CRC.format("bytes")} % 20 as f from k),
+             d as (select conv_id, turn, case when f = 4 then 'user' else role end as role, case when f = 1 then '' when f = 2 then translate(text, '.!?', '') else text end as text, unnest(range(case when f = 3 then 2 else 1 end)) from f where f <> 0),
+             o as (select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, substr(role, 1, 1) as r,
+                          regexp_replace(text, '[ 	-
+]+$', '') as e from d),
+             s as (select *, case when e = '' then 'b' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'd' when e not like '%.' and e not like '%!' and e not like '%?' then 't' else '' end as fault, lag(r) over (partition by conv_id order by i) || r as pair from o),
+             c as (select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated,
+                          count(*) filter (pair not in ('su', 'ua', 'au')) as illegal from s group by 1),
+             p as (select conv_id, n as i, [{{c: 0, a: ''}}, {{c: 10, a: 'II'}}, {{c: 5, a: 'I'}}, {{c: 0, a: ''}}] as b from c
+                   union all
+                   select p.conv_id, p.i - 1, (select list_transform([1, 2, 3, 4], lambda x: list_sort([w[x], {{c: 5 + w[nx[x]].c, a: 'I' || w[nx[x]].a}}, {{c: 10 + w[nx[nx[x]]].c, a: 'II' || w[nx[nx[x]]].a}}])[1]) from (select [3, 3, 4, 3] as nx, list_transform([1, 2, 3, 4], lambda x: list_sort([
+                              {{c: 2 + p.b[x].c, a: 'D' || p.b[x].a}},
+                              {{c: case when s.fault in ('b', 'd') then 1000000000 else 1 + case when s.fault = 't' then 5 else 0 end end + p.b[[3, 3, 4, 3][x]].c, a: 'R' || p.b[[3, 3, 4, 3][x]].a}},
+                              {{c: case when s.fault in ('b', 'd') or s.r <> ['u', 'u', 'a', 'u'][x] then 1000000000 else case when s.fault = 't' then 5 else 0 end end + p.b[[3, 3, 4, 3][x]].c, a: 'K' || p.b[[3, 3, 4, 3][x]].a}},
+                              {{c: case when s.fault in ('b', 'd') or s.r <> 's' or x <> 1 then 1000000000 else case when s.fault = 't' then 5 else 0 end end + p.b[2].c, a: 'K' || p.b[2].a}}])[1]) as w))
+                   from p join s on s.conv_id is not distinct from p.conv_id and s.i = p.i),
+             z as (select conv_id, b[1].c as cost, b[1].a as audit from p where i = 0),
+             y as (select conv_id, audit, 1 as k, 1 as i, 1 as x, cast(null as varchar) as text from z
+                   union all
+                   select y.conv_id, audit, k + 1, case when l = 'I' then y.i else y.i + 1 end, to_x, case when l = 'D' then y.text else concat_ws(chr(10), y.text, case l when 'I' then ['system', 'user', 'assistant'][to_x - 1] || ':' when 'R' then ['system', 'user', 'assistant'][to_x - 1] || ':' || s.text when 'K' then s.role || ':' || s.text end) end
+                   from (select *, substr(audit, k, 1) as l from y where k <= length(audit)) y left join s on s.conv_id is not distinct from y.conv_id and s.i = y.i,
+                        lateral (select case when l = 'D' then x when l = 'K' and x = 1 and s.r = 's' then 2 else [3, 3, 4, 3][x] end as to_x) g)
+        select a.conv_id, coalesce(c.gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(z.cost, 0)::bigint as cost, coalesce(z.audit, '') as audit, sha256(coalesce(y.text, '')) as repaired_sha256
+        from (select distinct conv_id from conversations) a left join c on c.conv_id is not distinct from a.conv_id left join z on z.conv_id is not distinct from a.conv_id left join y on y.conv_id is not distinct from a.conv_id and y.k = length(z.audit) + 1
+    """,
 }
