@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, neighbours, quality, quotes, repair, simhash, surrogates, tokencount, windows
-from .shared import table
+from . import decontaminate, language, lines, mixing, neighbours, quality, quotes, repair, simhash, surrogates, tokencount, windows
+from .shared import scratch, table
 
 #: The key of the registered query and the pipeline; real runs pass a secret of their own.
 PII_KEY = "not a secret"
@@ -63,6 +63,14 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new index of all documents, and the documents without its frequent lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = lines.LineIndex(spark, scratch(spark, "lines"))
+    index.insert(docs)
+    return index.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
@@ -75,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_neighbours": op9_neighbours,
     "op10_decontaminate": op10_decontaminate,
     "op12_repair": op12_repair,
+    "op13_lines": op13_lines,
 }
 
 #: CRC-32 of the bytes in a list, with the table in column `tab`.
@@ -158,4 +167,11 @@ ORACLES: dict[str, str] = {
         select a.conv_id, coalesce(c.gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(z.cost, 0)::bigint as cost, coalesce(z.audit, '') as audit, sha256(coalesce(y.text, '')) as repaired_sha256
         from (select distinct conv_id from conversations) a left join c on c.conv_id is not distinct from a.conv_id left join z on z.conv_id is not distinct from a.conv_id left join y on y.conv_id is not distinct from a.conv_id and y.k = length(z.audit) + 1
     """,
+    "op13_lines": r"""
+        with d as (select doc_id, row_number() over () as r, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+             l as (select doc_id, r, i, lines[i] as line, translate(regexp_replace(lines[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from (select *, unnest(range(1, len(lines) + 1)) as i from d)),
+             f as (select k, max(doc_id) as keeper from l where length(k) >= 20 group by 1 having count(distinct doc_id) + max(case when doc_id is null then 1 else 0 end) >= 3),
+             m as (select l.*, f.k is not null and l.doc_id is distinct from f.keeper as gone from l left join f on l.k = f.k)
+        select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256 from m group by doc_id, r
+    """,
 }

@@ -3,18 +3,30 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Writes df once to the folder of spark.checkpoint.dir; a temporary folder only where the session names none."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a temporary folder only where the session names none."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Writes df once to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
