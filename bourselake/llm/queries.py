@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, lines, mixing, neighbours, quality, quotes, repair, simhash, surrogates, tokencount, windows
-from .shared import scratch, table
+from . import decontaminate, language, lines, mixing, neighbours, quality, quotes, repair, simhash, spelling, surrogates, tokencount, windows
+from .shared import checkpoint, scratch, table
 
 #: The key of the registered query and the pipeline; real runs pass a secret of their own.
 PII_KEY = "not a secret"
@@ -59,6 +59,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.damaged(table(spark, sf_dir, "documents"))
+    return spelling.variants(checkpoint(spelling.vocabulary(words)))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(repair.damaged(table(spark, sf_dir, "conversations")))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling": op11_spelling,
     "op12_repair": op12_repair,
     "op13_lines": op13_lines,
 }
@@ -139,6 +145,23 @@ ORACLES: dict[str, str] = {
                coalesce(l.length, 0) as longest_match, l.start as longest_start, l.id as longest_item
         from w left join c on c.r = w.r left join a on a.r = w.r left join l on l.r = w.r where w.item = 0
     """,
+    "op11_spelling": rf"""
+        with recursive {_TAB},
+             r as (select coalesce(doc_id::varchar, '') as doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as run from documents),
+             l as (select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n from r where length(run) >= 6 group by all),
+             b as (select run, n, tab, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda x: case when unicode(x) < 128 then [unicode(x)] else [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] end)) as bytes from l, t),
+             h as (select run, n, {_CRC.format("bytes")} as h from b),
+             w as (select case when h % 199 = 0 then substr(run, 1, (h % length(run))::integer) || substr(run, (h % length(run))::integer + 2) else run end as word, n from h),
+             v as (select word, sum(n)::bigint as n from w where length(word) >= 6 group by 1 having sum(n) >= 5),
+             d as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as cut from (select *, unnest(range(1, length(word) + 1)) as i from v)),
+             p as (select a.word, b.word as near, b.n as near_n from d a join d b on a.i = b.i and a.cut = b.cut and a.word <> b.word
+                   union all select d.word, v.word, v.n from (select distinct word, cut from d) d join v on d.cut = v.word
+                   union all select v.word, d.word, d.n from (select distinct word, n, cut from d) d join v on d.cut = v.word),
+             s as (select word, count(*) as n_near, max(near_n) as top from p group by 1),
+             f as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when top >= 5 * v.n then (select min(near) from p where p.word = v.word and p.near_n = top) end as form, case when top >= 5 * v.n then top end as form_n from v left join s on s.word = v.word),
+             g as (select word, word as at, form as next from f union all select g.word, f.word, f.form from g join f on f.word = g.next)
+        select f.word, f.form, g.at as root, f.n, n_near, form_n from f join g on g.word = f.word and g.next is null
+    """,
     "op12_repair": rf"""
         with recursive {_TAB},
              k as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, tab, list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: unicode(x)) as bytes from conversations, t),
