@@ -32,7 +32,7 @@ from .shared import checkpoint
 LEAST_POINTS, LEAST_TIMES, TYPO_EVERY, MORE_OFTEN = 6, 5, 199, 5
 LETTERS = "A-Za-zÀ-ÿ"
 #: Words of a trie at most; it is smaller where the words are few, so that there are about PARTS of them.
-TRIE_WORDS, LEAST_TRIE_WORDS, PARTS = 1 << 16, 128, 400
+TRIE_WORDS, LEAST_TRIE_WORDS, PARTS = 1 << 16, 128, 100
 #: Words that a task merges at a time, of many small tries; prefixes that are broadcast at most.
 STEP_WORDS, MAX_BROADCAST_PREFIXES = 1 << 16, 100_000
 PAIR = "word string, near string, near_n long"
@@ -267,8 +267,8 @@ def variants(vocabulary: DataFrame, most: int | None = None, more_often: int = M
     has = -F.col("best.less") >= more_often * F.col("n")
     named = checkpoint(joined.select("word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(has, F.col("best.near")).alias("form"), F.when(has, -F.col("best.less")).alias("form_n")))
     links = named.where("form is not null").select("word", F.col("form").alias("root"))
-    most_often = named.agg(F.max("n")).first()[0] or 1
-    hops = max(1, math.ceil(math.log(most_often) / math.log(more_often)))  # each is that many times as frequent
+    least, most_often = named.agg(F.min("n"), F.max("n")).first()
+    hops = max(1, math.ceil(math.log((most_often or 1) / (least or 1), more_often)))  # each is that many times as frequent
     for _ in range(math.ceil(math.log2(hops))):
         links = checkpoint(links)
         further = links.select(F.col("word").alias("_word"), F.col("root").alias("_root"))
