@@ -520,27 +520,30 @@ def stream_resume(spark, sf_dir):
 
 
 @query("""
-    with e as (select user_id, event_type = 'error' as failed, row_number() over (partition by user_id order by ts, event_id) as i from events where event_type in ('error', 'purchase')),
+    with e as (select user_id, ts, event_type = 'error' as failed, row_number() over (partition by user_id order by ts, event_id) as i from events where event_type in ('error', 'purchase')),
          s as (select user_id, coalesce(min(case when not failed then i end), 1000000000) as ok, coalesce(min(case when failed and f = 3 then i end), 1000000000) as third
                from (select *, count(*) filter (where failed) over (partition by user_id order by i) as f from e) group by 1)
     select e.user_id as key, cast(count(*) filter (where failed and i < least(ok, third + 1)) as integer) as attempts,
-           case when ok < third then 'done' when third < 1000000000 then 'given_up' else 'waiting' end as status
+           case when ok < third then 'done' when third < 1000000000 then 'given_up' else 'waiting' end as status,
+           case when least(ok, third) = 1000000000 then max(ts) + interval 300 seconds end as next_try
     from e join s using (user_id) group by 1, ok, third
 """)
 def stream_retry(spark, sf_dir):
-    """Errors are failed attempts of a user, purchases successes; the state of every user at the end of the stream."""
+    """Errors are failed attempts of a user, purchases successes; every user's state at the end. The second half of the
+    time lands after the first, and a stream that goes on from the checkpoint of the one before reads it."""
     path = scratch(spark, "retry")
+    retry.use_timers(spark)
     events = table(spark, sf_dir, "events").where("event_type in ('error', 'purchase')")
-    rows = events.select(F.col("user_id").alias("key"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("time"), (F.col("event_type") == "purchase").alias("ok"))
-    days = rows.repartitionByRange(4, "time")
-    days.write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
-
-    def write(states: DataFrame, number: int) -> None:
-        states.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{path}/out")
-
-    retry.retry_state(stream).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/out").groupBy("key").agg(F.max_by("attempts", "batch").alias("attempts"), F.max_by("status", "batch").alias("status"))
+    rows = events.select(F.col("user_id").alias("key"), F.col("ts").cast("timestamp").alias("time"), (F.col("event_type") == "purchase").alias("ok"), F.lit(None).cast("string").alias("row"))
+    half = rows.agg(F.timestamp_seconds((F.unix_seconds(F.min("time")) + F.unix_seconds(F.max("time"))) / 2)).first()[0]
+    write = lambda states, number: watch.write_batch(states, f"{path}/out", "all", number)
+    for part in (F.col("time") < half, F.col("time") >= half):
+        rows.where(part).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in").withWatermark("time", "0 seconds")
+        retry.attempts(stream, keep=400 * 86_400).writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    states = spark.read.parquet(f"{path}/out").where(F.col("status") != retry.TRY)
+    last = lambda c: F.max_by(c, "batch").alias(c)
+    return states.groupBy("key").agg(last("attempts"), last("status"), F.max_by(F.struct("next_try"), "batch")["next_try"].cast("timestamp_ntz").alias("next_try"))
 
 
 @query()

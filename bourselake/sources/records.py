@@ -23,7 +23,8 @@ def write_records(records: DataFrame, path: str, mode: str = "append", by: str |
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType = RECORD) -> DataFrame:
-    return spark.read.schema(schema).options(**_TIMES).json(path)
+    """Records of a folder and of the folders below it."""
+    return spark.read.schema(schema).options(recursiveFileLookup="true", **_TIMES).json(path)
 
 
 def read_all_ranges(spark: SparkSession, path: str, schema: StructType, key: str = "disclosure_index") -> DataFrame:
@@ -37,7 +38,12 @@ def written_keys(lines: DataFrame, key: str = "disclosure_index", column: str =
     return lines.select(head.try_cast("long").alias(key)).where(F.col(key).isNotNull())
 
 
-def read_written_keys(spark: SparkSession, path: str, key: str = "disclosure_index") -> DataFrame:
+def write_batch(records: DataFrame, path: str, run: str, batch: int) -> None:
+    """The records of one batch of a run, in a folder of their own; a batch that is done again replaces them."""
+    write_records(records, f"{path}/run={run}/batch={batch}", mode="overwrite")
+
+
+def read_written_keys(spark: SparkSession, path: str | list[str], key: str = "disclosure_index") -> DataFrame:
     """Keys that are written already; none where nothing is written yet."""
     try:
         lines = spark.read.text(path, recursiveFileLookup=True)

@@ -1,51 +1,95 @@
-"""Retry state per key: failures are counted, a try follows a failure after a pause, success or the last failure ends it.
+"""Attempts per key as a stream: each key is tried once, after a failure again when a pause is over, three times in all.
 
-The state of a key is dropped `KEEP_SECONDS` after its last outcome: no more are expected then, and what was still
-waiting is left to the backfill.
+State and timers are those of `transformWithState`, so the session needs the RocksDB state store (`use_timers`). Time is
+event time: a timer fires once the watermark has passed it, so a stream that reads what has landed ends. The state of a
+key is dropped `keep` after its last event; a key that was given up is left to the backfill.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 MAX_FAILURES, PAUSE_SECONDS, KEEP_SECONDS = 3, 300, 86_400
-OUTPUT = "key long, attempts int, status string, next_try double"
+OUTPUT = "key long, attempts int, status string, next_try long, row string"
+TRY, WAITING, DONE, GIVEN_UP = "try", "waiting", "done", "given_up"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _step(attempts: int, done: bool, outcomes: pd.DataFrame, most: int) -> tuple[int, bool, float]:
-    """Counts outcomes (time, ok) in order of time, until success or the last failure; time of the last counted."""
-    last = 0.0
-    for t, ok in sorted(zip(outcomes["time"], outcomes["ok"], strict=True)):
-        if done or attempts >= most:
-            break
-        last = t
-        done = bool(ok)
-        attempts += not ok
-    return attempts, done, last
+def use_timers(spark: SparkSession) -> None:
+    """State with timers needs this store; a stream keeps the one that it was started with."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def retry_state(outcomes: DataFrame, most: int = MAX_FAILURES, pause: float = PAUSE_SECONDS, keep: float = KEEP_SECONDS) -> DataFrame:
-    """Stream of (key long, time double in seconds, ok boolean) to the state of each key that changed.
+class Attempts(StatefulProcessor):
+    """Events of a key, in order of time: listed (`ok` null), tried with success, tried without."""
 
-    status: done, given_up (left to the backfill) or waiting, then with next_try.
-    """
+    def __init__(self, most: int, pause: float, keep: float):
+        self.most, self.pause, self.keep = most, int(pause * 1e6), int(keep * 1e6)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("attempts", "attempts int, status string, next_try long, ends long, row string")
+
+    def _later(self, at: int) -> None:
+        """A timer at the first millisecond that isn't before `at`."""
+        self.handle.registerTimer(-(-at // 1000))
 
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
+    def _row(self, key: tuple, attempts: int, status: str, next_try: int | None, row: str | None) -> Row:
+        return Row(key=key[0], attempts=attempts, status=status, next_try=next_try, row=row)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        events = sorted(((r.micros, r.ok, r.row) for r in rows), key=lambda e: e[0])
+        held = self.state.get()
+        attempts, status, next_try, ends, kept = held or (0, None, None, 0, None)
+        before = attempts, status
+        for time, ok, row in events:
+            if status in (DONE, GIVEN_UP):
+                break
+            if ok is None:
+                if status is None:
+                    status, kept = TRY, row  # an attempt is under way until its outcome comes
+                continue
+            attempts += not ok
+            status, next_try = (DONE, None) if ok else (GIVEN_UP, None) if attempts >= self.most else (WAITING, time + self.pause)
+        changed = (attempts, status) != before
+        if changed or events[-1][0] + self.keep // 2 > ends:  # a key that is listed again and again moves its end now and then
+            ends = events[-1][0] + self.keep
+            self._later(ends)
+            self.state.update((attempts, status, next_try, ends, None if status in (DONE, GIVEN_UP) else kept))
+        if changed and status == WAITING:
+            self._later(next_try)
+        if changed:
+            yield self._row(key, attempts, status, next_try, kept if status == TRY else None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        now, held = expiredTimerInfo.getExpiryTimeInMs() * 1000, self.state.get()
+        if not held:
             return
-        attempts, done = state.get if state.exists else (0, False)
-        last = 0.0
-        for batch in batches:
-            attempts, done, at = _step(attempts, done, batch, most)
-            last = max(last, at)
-        state.update((attempts, done))
-        state.setTimeoutDuration(int(keep * 1000))
-        status = "done" if done else "given_up" if attempts >= most else "waiting"
-        yield pd.DataFrame({"key": [key[0]], "attempts": [attempts], "status": [status], "next_try": [last + pause if status == "waiting" else None]})
-
-    return outcomes.groupBy("key").applyInPandasWithState(update, OUTPUT, "attempts int, done boolean", "update", GroupStateTimeout.ProcessingTimeTimeout)
+        attempts, status, next_try, ends, row = held
+        if now >= ends:
+            self.state.clear()
+        elif status == WAITING and now >= next_try:
+            self.state.update((attempts, TRY, None, ends, row))
+            yield self._row(key, attempts, TRY, None, row)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        self.state.update((0, DONE, None, 0, None))
+
+    def close(self) -> None:
+        pass
+
+
+def attempts(events: DataFrame, most: int = MAX_FAILURES, pause: float = PAUSE_SECONDS, keep: float = KEEP_SECONDS, written: DataFrame | None = None) -> DataFrame:
+    """Stream of (key long, time timestamp with a watermark, ok boolean or null, row string) to the keys that changed.
+    Keys in `written` (column key) are done when the stream begins.
+
+    status: try (now; `row` is what the key was listed with), waiting (until next_try), done or given_up. An event that
+    comes after success or the last failure, or lists a key again, changes nothing.
+    """
+    known = None if written is None else written.select(F.col("key").cast("long").alias("key")).distinct().groupBy("key")
+    out = events.select("key", "time", F.unix_micros("time").alias("micros"), "ok", "row").groupBy("key").transformWithState(Attempts(most, pause, keep), OUTPUT, "append", "eventTime", initialState=known)
+    return out.withColumn("next_try", F.timestamp_micros("next_try"))

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.ranges import since
 from ..functions.values import ZONE, publish_delay_seconds
 from ..sources.tables import checkpoint as cut
-from .retry import MAX_FAILURES, PAUSE_SECONDS
+from .retry import KEEP_SECONDS, MAX_FAILURES, PAUSE_SECONDS, TRY, attempts, use_timers
 
 #: A listing shows an item until a minute past the end of its day; nothing is later than that.
 LATENESS = "1 day 1 minute"
@@ -46,41 +47,55 @@ def append_once(stream: DataFrame, key: str, written: Callable[[], DataFrame], w
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def append_until_done(
-    stream: DataFrame, key: str, build: Callable[[DataFrame], DataFrame], written: Callable[[], DataFrame], write: Callable[[DataFrame, int], None],
-    checkpoint: str, trigger: dict | None = None, order: Column | None = None, most: int = MAX_FAILURES, pause: float = PAUSE_SECONDS,
-) -> StreamingQuery:
-    """Appends what `build` makes of the rows; a row of which it makes nothing yet (its page hasn't landed, say) is kept
-    and tried again by later batches, after `pause` seconds, `most` times in all. Then it is left to the backfill.
+def write_batch(rows: DataFrame, path: str, run: str, batch: int) -> None:
+    """A batch's rows in a folder of their own; a batch that is done again replaces them, also by none."""
+    rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch}")
 
-    Rows that wait are a small table beside the checkpoint, in two folders that are written in turn: a batch reads what
-    the one before it left, so one that is run again starts from the same rows. A key that is done or given up is in it
-    no more. Batches come with every listing snapshot, also with one that has nothing new.
-    """
-    slot = lambda number: f"{checkpoint}/waiting/{number % 2}"
 
-    def left_by(number: int, rows: DataFrame) -> DataFrame:
-        empty = rows.limit(0).select("*", F.lit(0).alias("_tries"), F.current_timestamp().alias("_next"))
-        try:
-            return rows.sparkSession.read.schema(empty.schema).parquet(slot(number)) if number >= 0 else empty
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return empty
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream with this checkpoint: made once, and kept beside the checkpoint."""
+    try:
+        return spark.read.schema("run string").parquet(f"{checkpoint}/run").first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.createDataFrame([(uuid.uuid4().hex,)], "run string").coalesce(1).write.parquet(f"{checkpoint}/run")
+    return run_name(spark, checkpoint)
 
-    def batch(rows: DataFrame, number: int) -> None:
-        before = left_by(number - 1, rows)
-        now = F.lit(rows.sparkSession.sql("select current_timestamp()").first()[0])
-        new = rows.dropDuplicates([key]).join(before.select(key), key, "left_anti")
-        due = before.where(F.col("_next") <= now).unionByName(new.select("*", F.lit(0).alias("_tries"), now.alias("_next")))
-        due = cut(due.join(written().select(key), key, "left_anti"))
-        done = cut(build(due.drop("_tries", "_next")))
-        write(done if order is None else done.orderBy(order), number)
-        failed = due.join(done.select(key), key, "left_anti").withColumns({"_tries": F.col("_tries") + 1, "_next": now + F.make_dt_interval(secs=F.lit(float(pause)))})
-        wait = before.where(F.col("_next") > now).unionByName(failed.where(F.col("_tries") < most).select(before.columns))
-        wait.coalesce(1).write.mode("overwrite").parquet(slot(number))
 
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+def append_until_done(
+    stream: DataFrame, key: str, build: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, str, int], None], checkpoint: str, trigger: dict | None = None,
+    order: Column | None = None, most: int = MAX_FAILURES, pause: float = PAUSE_SECONDS, keep: float = KEEP_SECONDS, written: DataFrame | None = None,
+) -> StreamingQuery:
+    """Appends what `build` makes of the rows, each key once; a row of which it makes nothing yet (its page hasn't landed,
+    say) is tried again when `pause` seconds are over, `most` times in all. Then it is left to the backfill.
+
+    The stream hears its own outcomes: each batch leaves the keys that it tried in `checkpoint`/outcomes, which the next
+    batches read beside the listing, and `retry.attempts` holds every key's row, attempts and timer. So nothing of the
+    output is read to find what is due. A key is under way until its outcome is heard, and its state goes `keep` seconds
+    after it was last listed. Keys in `written` (column key) are taken as done when the stream begins. Time is that of the
+    batch: timers need batches to go on, and those come with every listing snapshot, also with one that has nothing new.
+    A batch that is done again tries the same keys, and `write` gets the same run and number, to replace what it wrote.
+    """
+    spark, outcomes, schema = stream.sparkSession, f"{checkpoint}/outcomes", stream.schema
+    use_timers(spark)
+    run = run_name(spark, checkpoint)
+    spark.createDataFrame([], "key long, ok boolean").coalesce(1).write.mode("overwrite").parquet(f"{outcomes}/none")
+    listed = stream.select(F.col(key).alias("key"), F.lit(None).cast("boolean").alias("ok"), F.to_json(F.struct(*stream.columns)).alias("row"))
+    heard = spark.readStream.schema("key long, ok boolean").option("recursiveFileLookup", True).parquet(outcomes).withColumn("row", F.lit(None).cast("string"))
+    events = listed.unionByName(heard).withColumn("time", F.current_timestamp()).withWatermark("time", "0 seconds")
+
+    def batch(changes: DataFrame, number: int) -> None:
+        due = cut(changes.where(F.col("status") == TRY).select(F.from_json("row", schema).alias("row")).select("row.*"))
+        if due.isEmpty():
+            return
+        done = cut(build(due))
+        write(done if order is None else done.orderBy(order), run, number)
+        tried = due.select(F.col(key).alias("key")).join(done.select(F.col(key).alias("key"), F.lit(True).alias("ok")), "key", "left")
+        write_batch(tried.select("key", F.coalesce("ok", F.lit(False)).alias("ok")).coalesce(1), outcomes, run, number)
+
+    changes = attempts(events, most, pause, keep, written)
+    return changes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def write_delay(rows: DataFrame, time: str, now: Column, zone: str = ZONE) -> DataFrame:
