@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -38,11 +39,21 @@ def missing_keys(listed: DataFrame, written: DataFrame, failures: DataFrame | No
     return missing.orderBy(key)
 
 
-def in_rounds(listed: Callable[[], DataFrame], written: Callable[[], DataFrame], process: Callable[[DataFrame, int], None], rounds: int = 3, key: str = KEY) -> int:
-    """Processes what isn't written, then up to `rounds` times more what is left; the number of rows left."""
+def in_rounds(
+    listed: Callable[[], DataFrame], written: Callable[[], DataFrame], process: Callable[[DataFrame, int], None], rounds: int = 3, key: str = KEY,
+    wait: float = 0, failed_lists: Callable[[], int] = lambda: 0, pause: Callable[[float], None] = time.sleep,
+) -> int:
+    """Processes what isn't written, then up to `rounds` times more what is left; the number of rows left.
+
+    Before each further round it waits `wait` seconds and lists again, so that what has landed since is seen; it goes on
+    while rows are left or lists couldn't be read.
+    """
     for n in range(rounds + 1):
+        if n:
+            pause(wait)
         todo = not_written(listed(), written(), key)
-        if todo.isEmpty():
+        if not todo.isEmpty():
+            process(todo, n)
+        elif not failed_lists():
             return 0
-        process(todo, n)
     return not_written(listed(), written(), key).count()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -14,13 +14,13 @@ from ..functions.values import ZONE, publish_delay_seconds
 DELAYS = "records long, least double, mean double, most double"
 
 
-def write_delays(done: DataFrame, time: str, path: str, run: str, batch: int, zone: str = ZONE) -> dict:
-    """Writes each record's key columns and delay from `time` to now, and counts the batch's delays on the way.
+def write_delays(done: DataFrame, time: str, path: str, run: str, batch: int, zone: str = ZONE, now: Column | None = None) -> dict:
+    """Writes each record's key columns and delay from `time` to `now`, and counts the batch's delays on the way.
 
     The rows are in `path`/run=…/batch=…; records, least, mean and most of them in `path`_batches, a row per batch.
     """
     seen = Observation("delays")
-    delays = done.select("disclosure_index", time, publish_delay_seconds(F.col(time), F.current_timestamp(), zone).alias("delay_seconds"))
+    delays = done.select("disclosure_index", time, publish_delay_seconds(F.col(time), F.current_timestamp() if now is None else now, zone).alias("delay_seconds"))
     counted = delays.observe(seen, F.count("*").alias("records"), *[f("delay_seconds").cast("double").alias(n) for f, n in ((F.min, "least"), (F.avg, "mean"), (F.max, "most"))])
     counted.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch}")
     row = seen.get

@@ -4,7 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from bourselake import schemas
-from bourselake.jobs import backfill, watch
+from bourselake.jobs import backfill, statements, watch
 from bourselake.operators import attachments, listing, resume
 from bourselake.sources import attachments as files
 from bourselake.sources import listing as listings
@@ -158,3 +158,67 @@ def test_backfill_reports(spark, tmp_path):
     job = backfill.Backfill(*args)
     assert [tuple(r) for r in job.months().collect()] == [(datetime.date(2026, 10, 1), 2, 1), (datetime.date(2026, 9, 1), 1, 1)]
     assert [r[0] for r in job.missing().collect()] == [2, 3]
+
+
+def test_rounds_list_again_and_wait(spark, tmp_path):
+    """Between rounds another list lands, and a page that was late."""
+    land(tmp_path, [row(1), row(2)])
+    landed(spark, tmp_path, [1])
+    job = backfill.Backfill(spark, str(tmp_path), str(tmp_path / "out"), datetime.date(2026, 10, 1), datetime.date(2026, 10, 8), URL)
+    waits = []
+
+    def pause(seconds):
+        waits.append(seconds)
+        if len(waits) == 1:
+            land(tmp_path, [row(3)], "b.json")
+            landed(spark, tmp_path, [1, 2, 3])
+
+    process = lambda todo, n: job.process(todo, spark.read.parquet(str(tmp_path / "results")), n)
+    assert resume.in_rounds(job.list_again, job.written, process, 3, wait=7, failed_lists=job.failed.count, pause=pause) == 0
+    assert waits == [7, 7] and tuple(job.report().first()) == (3, 0, 0, True)
+    assert sorted(r[0] for r in job.written().select("disclosure_index").collect()) == [1, 2, 3]
+
+
+def test_failed_lists_are_counted_and_read_again(spark, tmp_path):
+    land(tmp_path, [row(1), row(2)])
+    (tmp_path / "listing" / "b.json").write_text(json.dumps([{"disclosureBasic": row(3)}])[:-20])
+    results = landed(spark, tmp_path, [1, 2, 3])
+    job = backfill.Backfill(spark, str(tmp_path), str(tmp_path / "out"), datetime.date(2026, 10, 1), datetime.date(2026, 10, 8), URL)
+    assert job.rounds(lambda: results, 1) == 0 and tuple(job.report().first()) == (2, 0, 1, False)
+    assert [r.file.rsplit("/", 1)[1] for r in job.failed.collect()] == ["b.json"]
+    land(tmp_path, [row(3)], "b.json")
+    again = backfill.Backfill(spark, str(tmp_path), str(tmp_path / "out"), datetime.date(2026, 10, 1), datetime.date(2026, 10, 8), URL)
+    again.rounds(lambda: results, 0)
+    assert tuple(again.report().first()) == (3, 0, 0, True)
+
+
+def test_days_out_of_range_are_not_opened(spark, tmp_path):
+    for day in ("07", "08", "09"):
+        land(tmp_path, [row(int(day), f"{day}.10.2026")], "x.json")
+        (tmp_path / "listing" / f"day=2026-10-{day}").mkdir()
+        (tmp_path / "listing" / "x.json").rename(tmp_path / "listing" / f"day=2026-10-{day}" / "x.json")
+    (tmp_path / "listing" / "day=2026-10-07" / "bad.json").write_text("[{")
+    landed(spark, tmp_path, [7, 8, 9])
+    job = backfill.Backfill(spark, str(tmp_path), str(tmp_path / "out"), datetime.date(2026, 10, 8), datetime.date(2026, 10, 8), URL, by_day=True)
+    assert [r.disclosure_index for r in job.rows.collect()] == [8] and job.failed.count() == 0
+    rows = listings.read_listing(spark, str(tmp_path / "listing/*"), strict=False)
+    listings.write_by_day(rows, str(tmp_path / "days"))
+    days = listings.read_by_day(spark, str(tmp_path / "days"), datetime.date(2026, 10, 8), datetime.date(2026, 10, 9))
+    assert sorted(r.disclosureIndex for r in days.collect()) == [8, 9]
+    assert "PartitionFilters: [isnotnull(day" in days._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_of_a_load_replace_those_before(spark, tmp_path):
+    path, day = str(tmp_path / "facts"), datetime.date
+    fact, of = "disclosure_index long, table_no int, row_no int, value double", "disclosure_index long, month date"
+    assert statements.read_facts(spark, path) is None
+    load = lambda facts, listed: statements.upsert_facts(spark, path, spark.createDataFrame(facts, fact), spark.createDataFrame(listed, of))
+    load([(1, 0, 0, 1.0), (1, 0, 1, 2.0), (2, 0, 0, 3.0), (3, 0, 0, 4.0)], [(1, day(2026, 1, 1)), (2, day(2026, 1, 1)), (3, day(2026, 2, 1))])
+    february = {*(tmp_path / "facts" / "month=2026-02-01").glob("part*")}
+    load([(1, 0, 0, 9.0), (5, 0, 0, 5.0)], [(1, day(2026, 1, 1)), (5, day(2026, 3, 1))])
+    got = lambda: sorted(tuple(r) for r in statements.read_facts(spark, path).select("disclosure_index", "row_no", "value").collect())
+    assert got() == [(1, 0, 9.0), (2, 0, 3.0), (3, 0, 4.0), (5, 0, 5.0)]
+    assert {*(tmp_path / "facts" / "month=2026-02-01").glob("part*")} == february  # another month's files are left alone
+    load([], [(5, day(2026, 3, 1))])
+    load([], [(5, day(2026, 3, 1))])
+    assert got() == [(1, 0, 9.0), (2, 0, 3.0), (3, 0, 4.0)]
