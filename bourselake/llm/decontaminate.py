@@ -1,13 +1,15 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
 Each task sorts the suffixes of its shard of documents (slices of `words.SLICE_BYTES`) and binary-searches every suffix
-of the benchmark items in it. Suffixes that share their first `window` words with an item's are the matches' places;
-each is followed to its end, which gives the longest verbatim matches: where they begin in the document and in the item,
-and how long they are. Documents are neither shuffled nor joined for that.
+of the benchmark items in it. Suffixes that share their first `window` words with items' suffixes are the matches'
+places. A place is kept once for all items that begin alike, not once for each: what is hit, and by which set of items,
+follows from places and beginnings alone, and the longest match from following places and items' suffixes word by word
+together. Documents are neither shuffled nor joined for that. `matched` lists every maximal match of every item, which
+is the product of both where many texts and many items share a passage; no query or stage needs it.
 
 The benchmark goes out in blocks of about `BLOCK_BYTES` of text, dealt by the items' hash: the driver and the tasks
 hold one block at a time (24 bytes per word of it), and each further block is a pass over the documents that returns
-matches only.
+hits only.
 
 Defined cases: a null or empty text has no words and no match; a null item_id counts as an empty string; rows that
 repeat a doc_id are judged by their own text; an empty benchmark matches nothing; of very long texts each is a shard of
@@ -16,7 +18,9 @@ its own; other columns are kept. Words are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -67,11 +71,14 @@ def suffixes(items: list[tuple[str, str]], window: int) -> Suffixes:
     return Suffixes([i for i, _ in items], hashes, item, w.rows[:-1][item], w.rows[1:][item], groups)
 
 
+def block_count(benchmark: DataFrame, most: int) -> int:
+    return -(-(benchmark.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0) // most)
+
+
 def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
     """Items (id, text) in blocks of about `most` bytes, dealt by hash; one block at a time is on the driver."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    n = -(-size // most)
+    n = block_count(benchmark, most)
     for k in range(n):
         chosen = items if n == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
         yield [(r["id"], r["text"]) for r in chosen.toLocalIterator()]
@@ -217,39 +224,228 @@ def few(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
-def hit_words(matches: str) -> Column:
-    """Number of words in any of the matches, which are sorted by their start."""
+def hit_words(spans: str) -> Column:
+    """Number of words in any of the spans, which are sorted by their start."""
     begin = F.struct(F.lit(0).alias("upto"), F.lit(0).cast("long").alias("n"))
     last = lambda m: m["start"] + m["length"]
     step = lambda s, m: F.struct(F.greatest(s["upto"], last(m)).alias("upto"), (s["n"] + F.greatest(F.lit(0), last(m) - F.greatest(s["upto"], m["start"]))).alias("n"))
-    return F.aggregate(matches, begin, step)["n"]
+    return F.aggregate(spans, begin, step)["n"]
+
+
+class Findings(NamedTuple):
+    """What a shard's rows have in common with the items, in arrays that grow with places and with beginnings, not with
+    their product. `rows`: those with a hit; for each of them the rest but `spans`, which are (row, start, length)."""
+
+    counts: np.ndarray
+    rows: np.ndarray
+    spans: np.ndarray
+    sets: list[list[str]]  # distinct sets of items, each in order
+    kind: np.ndarray  # of a row: the number of its set
+    longest: np.ndarray  # of a row: length and start of its longest match, and its item as a number of `names`
+    names: list[str]
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[i], starts[i] + 1, … (counts[i] numbers) for every i."""
+    return np.repeat(starts - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
+
+
+def shard_findings(text: pa.Array, sought: Suffixes, window: int, detail: bool = True) -> Findings:
+    """Without `detail`: only which rows have a hit, and their spans."""
+    w = W.texts(text).words(W.ALNUM, lower=True)
+    rows, counts = len(text), w.counts()
+    nothing = Findings(counts, np.zeros(0, np.int64), np.zeros((0, 3), np.int64), [], np.zeros(0, np.int64), np.zeros((0, 3), np.int64), [])
+    if not len(w.starts) or not len(sought.hashes):
+        return nothing
+    known, ids = np.unique(w.hashes(), return_inverse=True)
+    tokens = np.zeros(len(ids) + rows, np.int64)  # a 0 after each document: no match runs over its end
+    tokens[np.arange(len(ids)) + w.row_of()] = ids + 1
+    at = np.minimum(np.searchsorted(known, sought.hashes), len(known) - 1)
+    item_tokens = np.where(known[at] == sought.hashes, at + 1, -1)  # a word that the shard lacks can't be matched
+    lacks = np.concatenate([[0], np.cumsum(item_tokens < 0)])
+    order, parts, beginnings = None, [], 0
+    covered = np.zeros(len(tokens) + 1, np.int64)
+    for length, first, owners, cuts in sought.groups:
+        there = np.flatnonzero(lacks[first + length] == lacks[first])
+        if not len(there):
+            continue
+        if order is None:
+            order = suffix_array(tokens, window)
+        low, high = find(tokens, order, item_tokens[first[there][:, None] + np.arange(length)])
+        hit = np.flatnonzero(high > low)
+        places = order[_spread(low[hit], (high - low)[hit])]
+        np.add.at(covered, places, 1)
+        np.add.at(covered, places + length, -1)
+        own = cuts[there[hit]], cuts[there[hit] + 1] - cuts[there[hit]]
+        number = beginnings + np.arange(len(hit))
+        parts.append((places, np.repeat(number, (high - low)[hit]), np.full(len(places), length), owners[_spread(*own)], np.repeat(number, own[1])))
+        beginnings += len(hit)
+    inside = np.append(False, np.cumsum(covered[:-1]) > 0)
+    ends_at = np.flatnonzero(tokens == 0)
+    start, end = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~np.append(inside[1:], False)[: len(inside) - 1])
+    if not len(start):
+        return nothing
+    of = np.searchsorted(ends_at, start)
+    spans = np.stack([of, start - of - w.rows[of], end - start], axis=1)
+    hits = np.unique(of)
+    if not detail:
+        return Findings(counts, hits, spans, [], np.zeros(0, np.int64), np.zeros((0, 3), np.int64), [])
+    place, kind, depth, owner, owner_kind = (np.concatenate(x) for x in zip(*parts, strict=True))
+    names, rank = np.unique(np.array(sought.ids, object).astype(str), return_inverse=True)
+    row = np.searchsorted(ends_at, place)
+    sets, set_of = _item_sets(row, kind, owner_kind, rank[sought.item[owner]], names, beginnings)
+    best = _longest(tokens, item_tokens, sought, place, kind, depth, owner, owner_kind, rank[sought.item[owner]], beginnings, len(known) + 3)
+    row, length, p, item = np.searchsorted(ends_at, best[0]), best[1], best[0], best[2]
+    chosen = np.lexsort((item, p, -length, row))
+    chosen = chosen[np.append(True, row[chosen][1:] != row[chosen][:-1])]
+    return Findings(counts, hits, spans, sets, set_of, np.stack([length, p - row - w.rows[row], item], axis=1)[chosen], names.tolist())
+
+
+def _item_sets(row: np.ndarray, kind: np.ndarray, owner_kind: np.ndarray, item: np.ndarray, names: np.ndarray, beginnings: int) -> tuple[list[list[str]], np.ndarray]:
+    """Distinct sets of items, and for every row with a hit, in order, the number of its own. Rows with the same
+    beginnings share their set."""
+    pair = np.unique(row * beginnings + kind)
+    cuts = np.flatnonzero(np.append(True, np.diff(pair // beginnings) > 0))
+    by_kind = np.argsort(owner_kind, kind="stable")
+    begins = np.searchsorted(owner_kind[by_kind], np.arange(beginnings + 1))
+    sets: list[list[str]] = []
+    known: dict[bytes, int] = {}
+    out = []
+    for part in np.split(pair % beginnings, cuts[1:]):
+        if (name := part.tobytes()) not in known:
+            known[name] = len(sets)
+            sets.append(names[np.unique(np.concatenate([item[by_kind[begins[k] : begins[k + 1]]] for k in part]))].tolist())
+        out.append(known[name])
+    return sets, np.array(out)
+
+
+def _longest(tokens, item_tokens, sought: Suffixes, place, kind, depth, owner, owner_kind, item, kinds: int, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For places that may begin a longest match: place, length of the longest, and the least item that has it.
+
+    Places and suffixes of items that go on with the same word go on together, word by word.
+    """
+    # a place whose word before is also before every suffix of its beginning is part of a longer match
+    at_begin = owner == sought.begin[owner]
+    before = np.where(at_begin, 0, item_tokens[owner - 1])
+    low, high = np.full(kinds, base), np.full(kinds, -2)
+    np.minimum.at(low, owner_kind, before)
+    np.maximum.at(high, owner_kind, before)
+    free = np.bincount(owner_kind[at_begin], minlength=kinds) > 0
+    keep = free[kind] | (low[kind] != high[kind]) | (tokens[place - 1] != low[kind])
+    place, kind, depth = place[keep], kind[keep], depth[keep]
+    by_kind = np.zeros(kinds, np.int64)
+    by_kind[kind] = depth
+    owner_depth = by_kind[owner_kind]
+    found = []
+    while len(place):
+        least = np.full(kinds, np.iinfo(np.int64).max)
+        np.minimum.at(least, owner_kind, item)
+        goes_on = owner + owner_depth < sought.end[owner]
+        word = np.where(goes_on, item_tokens[np.where(goes_on, owner + owner_depth, 0)], -1)
+        of_owner, of_place = owner_kind * base + word, kind * base + tokens[place + depth]
+        both = np.intersect1d(of_owner[word > 0], of_place)
+        on = np.isin(of_place, both)
+        found.append((place[~on], depth[~on], least[kind[~on]]))
+        stay = (word > 0) & np.isin(of_owner, both)
+        owner, owner_depth, item, owner_kind = owner[stay], owner_depth[stay] + 1, item[stay], np.searchsorted(both, of_owner[stay])
+        place, depth, kind, kinds = place[on], depth[on] + 1, np.searchsorted(both, of_place[on]), len(both)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+FOUND = "spans array<struct<start:int,length:int>>, n_items long, items_sha256 string, items array<string>, longest struct<length:int,start:int,item:string>"
+
+
+def findings(docs: DataFrame, sent, window: int, every: bool, lists: bool) -> DataFrame:
+    """doc_id, row, n_words and FOUND of all documents, or of those with a hit; items themselves only with `lists`."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, "text"):
+            f = shard_findings(batch.column("text"), sent.value, window)
+            keep = np.arange(batch.num_rows) if every else f.rows
+            here = np.isin(keep, f.rows)
+            slot = np.where(here, np.searchsorted(f.rows, keep), 0)
+            take = lambda values, kind: pa.array([values[k] if h else None for k, h in zip(slot.tolist(), here.tolist(), strict=True)], kind)  # noqa: E731, B023
+            shas = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in f.sets]
+            cuts = np.searchsorted(f.spans[:, 0], np.append(keep, batch.num_rows if not len(keep) else keep[-1] + 1))
+            cuts[-1] = len(f.spans)
+            spans = pa.StructArray.from_arrays([pa.array(f.spans[:, i].astype(np.int32)) for i in (1, 2)], ["start", "length"])
+            best = [{"length": n, "start": a, "item": f.names[i]} for n, a, i in f.longest.tolist()]
+            columns = [
+                batch.column("doc_id").take(pa.array(keep)), batch.column("row").take(pa.array(keep)), pa.array(f.counts[keep].astype(np.int64)), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), spans),
+                take([len(f.sets[k]) for k in f.kind], pa.int64()), take([shas[k] for k in f.kind], pa.string()), take([f.sets[k] for k in f.kind] if lists else [None] * len(f.kind), pa.list_(pa.string())),
+                take(best, pa.struct([("length", pa.int32()), ("start", pa.int32()), ("item", pa.string())])),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_words", *[x.split()[0] for x in ("spans", "n_items", "items_sha256", "items", "longest")]])
+
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    return rows.mapInArrow(search, f"doc_id {dict(docs.dtypes)['doc_id']}, row long, n_words long, {FOUND}")
+
+
+def found_in(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """`findings` of all documents in the whole benchmark, block by block if it is large."""
+    context = docs.sparkSession.sparkContext
+    number = block_count(benchmark, block_bytes)
+    if number <= 1:
+        return findings(docs, context.broadcast(suffixes(next(blocks(benchmark, block_bytes), []), window)), window, True, False)
+    parts = []
+    for block in blocks(benchmark, block_bytes):  # one block at a time is sent out, and let go before the next one is
+        sent = context.broadcast(suffixes(block, window))
+        parts.append(checkpoint(findings(docs, sent, window, False, True)))
+        sent.destroy()
+    longest = lambda x: F.struct((-x["length"]).alias("n"), x["start"].alias("start"), x["item"].alias("item"))
+    merged = reduce(DataFrame.unionAll, parts).groupBy(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).agg(
+        F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.min(longest(F.col("longest"))).alias("best"),
+    )
+    merged = checkpoint(merged.select(
+        "_doc", "_row", "spans", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "items",
+        F.struct((-F.col("best.n")).alias("length"), F.col("best.start").alias("start"), F.col("best.item").alias("item")).alias("longest"),
+    ))
+    every = findings(docs, context.broadcast(suffixes([], window)), window, True, False).select("doc_id", "row", "n_words")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_row"))
+    return every.join(few(merged, merged.count()), same, "left").drop("_doc", "_row").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,length:int>>")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and of its longest match (the first
     in the document, then in item order) longest_match (words), longest_start (its first word, from 0), longest_item."""
-    found = matched(docs.select("doc_id", "text"), benchmark, window)
-    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
-    longest = F.get(F.array_sort(F.transform("matches", lambda m: F.struct((-m["length"]).alias("n"), m["start"].alias("start"), m["item_id"].alias("item")))), 0)
-    found = found.withColumns({"_items": items, "_longest": longest})
+    found = found_in(docs.select("doc_id", "text"), benchmark, window)
     return found.select(
         "doc_id",
         "n_words",
-        hit_words("matches").alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
-        (F.size("matches") > 0).alias("contaminated"),
-        F.coalesce(-F.col("_longest.n"), F.lit(0)).cast("long").alias("longest_match"),
-        F.col("_longest.start").cast("long").alias("longest_start"),
-        F.col("_longest.item").alias("longest_item"),
+        hit_words("spans").alias("n_hit"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+        F.coalesce("longest.length", F.lit(0)).cast("long").alias("longest_match"),
+        F.col("longest.start").cast("long").alias("longest_start"),
+        F.col("longest.item").alias("longest_item"),
     )
 
 
+def with_hits(docs: DataFrame, sent, window: int) -> DataFrame:
+    """doc_id and row of the documents that have a hit in one block."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, "text"):
+            rows = pa.array(shard_findings(batch.column("text"), sent.value, window, detail=False).rows)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), batch.column("row").take(rows)], ["doc_id", "row"])
+
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    return rows.mapInArrow(search, f"doc_id {dict(docs.dtypes)['doc_id']}, row long")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents, all columns as they are, without those that hold a benchmark window.
 
-    Only doc_id and text pass through the search; the keys of the documents with a match come back.
+    Only doc_id and text pass through the search; the keys of the documents with a hit come back.
     """
-    hits = checkpoint(matched(docs.select("doc_id", "text"), benchmark, window, every=False).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct())
+    context, parts = docs.sparkSession.sparkContext, []
+    for block in blocks(benchmark, BLOCK_BYTES):
+        sent = context.broadcast(suffixes(block, window))
+        parts.append(checkpoint(with_hits(docs, sent, window).distinct()))
+        sent.destroy()
+    if not parts:
+        return docs
+    hits = reduce(DataFrame.unionAll, parts).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"))
     same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_row"))
     return docs.join(few(hits, hits.count()), same, "left_anti")

@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import pytest
 from hypothesis import given, settings
@@ -51,6 +52,7 @@ def test_odd_rows_and_several_blocks(spark, monkeypatch, block):
     df = spark.createDataFrame(docs, DOCS).withColumnRenamed("lang", "Found").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
     monkeypatch.setattr(D, "blocks", lambda benchmark, most, own=D.blocks: own(benchmark, block))
+    monkeypatch.setattr(D, "block_count", lambda benchmark, most, own=D.block_count: own(benchmark, block))
     want = plain([(d[0], d[1]) for d in docs], items)
     assert rows(D.contamination(df, bench)) == want
     longest = {r.doc_id: (r.longest_match, r.longest_start, r.longest_item) for r in D.contamination(df, bench).where("contaminated").collect()}
@@ -97,3 +99,34 @@ def test_suffix_array_order(tokens, depth):
     assert sorted(got) == list(range(len(tokens)))
     cut = [(tokens + [0] * depth)[i : i + depth] for i in got]
     assert cut == sorted(cut)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=40), min_size=1, max_size=4), st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=15), min_size=1, max_size=4), st.integers(1, 6))
+def test_findings_follow_from_all_matches(docs, items, window):
+    texts = [" ".join(d) for d in docs]
+    got = D.shard_findings(pa.array(texts), D.suffixes([(str(i // 2), " ".join(x)) for i, x in enumerate(items)], window), window)
+    for r, doc in enumerate(docs):
+        every = {(p, n, str(i // 2)) for i, item in enumerate(items) for p, n, _ in longest(doc, item, window)}
+        hit = {p + k for p, n, _ in every for k in range(n)}
+        spans = got.spans[got.spans[:, 0] == r]
+        assert {p + k for _, p, n in spans.tolist() for k in range(n)} == hit and (r in got.rows) == bool(every)
+        if every:
+            at = got.rows.tolist().index(r)
+            assert got.sets[got.kind[at]] == sorted({i for *_, i in every})
+            n, p, i = min((-n, p, i) for p, n, i in every)
+            assert got.longest[at].tolist()[:2] == [-n, p] and got.names[got.longest[at][2]] == i
+    assert D.shard_findings(pa.array(texts), D.suffixes([(str(i // 2), " ".join(x)) for i, x in enumerate(items)], window), window, detail=False).rows.tolist() == got.rows.tolist()
+
+
+def test_a_prompt_that_many_texts_and_items_share():
+    """10,000 texts and 1,000 items: places and suffixes, not ten million pairs of them."""
+    prompt = " ".join(f"w{i}" for i in range(30))
+    sought = D.suffixes([(f"{i:04d}", f"{prompt} answer{i} more{i}") for i in range(1_000)], 10)
+    tracemalloc.start()
+    got = D.shard_findings(pa.array([f"x{i} {prompt} answer{i} y" for i in range(10_000)]), sought, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got.rows) == 10_000 and len(got.sets) <= 1_001 and peak < 400e6
+    assert got.longest[7].tolist()[:2] == [31, 1] and got.names[got.longest[7][2]] == "0007"
+    assert got.longest[5_000].tolist()[:2] == [30, 1] and got.names[got.longest[5_000][2]] == "0000"
