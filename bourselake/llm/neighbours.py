@@ -36,6 +36,9 @@ PART_ROWS, QUERY_ROWS = 2_000, 20_000
 #: Queries of a part whose distances are held at once.
 AT_ONCE = 128
 
+#: Rows whose distances to all centres are held at a time while training.
+ROWS_AT_ONCE = 4_096
+
 
 class Model(NamedTuple):
     centroids: np.ndarray  # lists x dimensions
@@ -51,7 +54,9 @@ class Model(NamedTuple):
 
 
 def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return (((centres**2).sum(axis=1) / 2) - x @ centres.T).argmin(axis=1)
+    """The nearest centre of each row; distances are held for some rows at a time."""
+    half = (centres**2).sum(axis=1) / 2
+    return np.concatenate([np.zeros(0, np.int64), *[(half - x[i : i + ROWS_AT_ONCE] @ centres.T).argmin(axis=1) for i in range(0, len(x), ROWS_AT_ONCE)]])
 
 
 def k_means(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
