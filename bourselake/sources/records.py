@@ -28,8 +28,8 @@ def read_records(spark: SparkSession, path: str, schema: StructType = RECORD) ->
 
 
 def read_all_ranges(spark: SparkSession, path: str, schema: StructType, key: str = "disclosure_index") -> DataFrame:
-    """All range outputs together, each key once."""
-    return read_records(spark, path, schema).dropDuplicates([key])
+    """All range outputs together, each key once; the range is a column if `schema` has it."""
+    return spark.read.schema(schema).options(**_TIMES).json(path).dropDuplicates([key])
 
 
 def written_keys(lines: DataFrame, key: str = "disclosure_index", column: str = "value") -> DataFrame:
