@@ -262,10 +262,12 @@ def variants(vocabulary: DataFrame, most: int | None = None, more_often: int = M
     form: its most frequent near word (ties: the first in order), if that is `more_often` times as frequent; root: where
     forms of forms end.
     """
-    best = one_edit_pairs(vocabulary, most).groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
-    joined = vocabulary.join(best, "word", "left")
+    # a word's own row and its pairs meet in one grouping
+    rows = one_edit_pairs(vocabulary, most).withColumn("n", F.lit(None).cast("long")).unionByName(vocabulary.select("word", "n"), allowMissingColumns=True)
+    nearest = F.min(F.when(F.col("near").isNotNull(), F.struct((-F.col("near_n")).alias("less"), "near")))
+    joined = rows.groupBy("word").agg(F.max("n").alias("n"), F.count("near").alias("n_near"), nearest.alias("best"))
     has = -F.col("best.less") >= more_often * F.col("n")
-    named = checkpoint(joined.select("word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(has, F.col("best.near")).alias("form"), F.when(has, -F.col("best.less")).alias("form_n")))
+    named = checkpoint(joined.select("word", "n", "n_near", F.when(has, F.col("best.near")).alias("form"), F.when(has, -F.col("best.less")).alias("form_n")))
     links = named.where("form is not null").select("word", F.col("form").alias("root"))
     least, most_often = named.agg(F.min("n"), F.max("n")).first()
     hops = max(1, math.ceil(math.log((most_often or 1) / (least or 1), more_often)))  # each is that many times as frequent
