@@ -38,7 +38,7 @@ from .shared import checkpoint, free_name
 
 LEAST_POINTS, LEAST_DOCUMENTS = 20, 3
 #: Keys of a filter; bytes of filters, and rows of frequent keys, that are sent to all tasks at most.
-SHARD_KEYS, MAX_FILTER_BYTES, MAX_BROADCAST_KEYS = 1 << 19, 64_000_000, 500_000
+SHARD_KEYS, MAX_FILTER_BYTES, MAX_BROADCAST_KEYS = 1 << 14, 64_000_000, 500_000
 KEY = ["high", "low"]
 REFS = "high long, low long, refs long, keeper long, held_in int, repeated_in int"
 
