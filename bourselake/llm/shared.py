@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary folder only where the session names none."""
+    """The folder of spark.checkpoint.dir. Without it a local session gets a temporary one; a cluster has to name it."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 
