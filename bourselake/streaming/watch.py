@@ -52,15 +52,23 @@ def write_batch(rows: DataFrame, path: str, run: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch}")
 
 
-def run_name(spark: SparkSession, checkpoint: str) -> str:
-    """The name of the stream with this checkpoint: made once, and kept beside the checkpoint."""
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a table of files has been written."""
     try:
-        return spark.read.schema("run string").parquet(f"{checkpoint}/run").first()[0]
+        spark.read.text(f"{path}/_SUCCESS")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-    spark.createDataFrame([(uuid.uuid4().hex,)], "run string").coalesce(1).write.parquet(f"{checkpoint}/run")
-    return run_name(spark, checkpoint)
+        return False
+    return True
+
+
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream with this checkpoint: made once, and kept beside the checkpoint."""
+    path = f"{checkpoint}/run"
+    if not there(spark, path):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "run string").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema("run string").parquet(path).first()[0]
 
 
 def append_until_done(
@@ -80,7 +88,8 @@ def append_until_done(
     spark, outcomes, schema = stream.sparkSession, f"{checkpoint}/outcomes", stream.schema
     use_timers(spark)
     run = run_name(spark, checkpoint)
-    spark.createDataFrame([], "key long, ok boolean").coalesce(1).write.mode("overwrite").parquet(f"{outcomes}/none")
+    if not there(spark, f"{outcomes}/none"):  # kept as it is: a batch that is done again reads the same files
+        spark.createDataFrame([], "key long, ok boolean").coalesce(1).write.mode("overwrite").parquet(f"{outcomes}/none")
     listed = stream.select(F.col(key).alias("key"), F.lit(None).cast("boolean").alias("ok"), F.to_json(F.struct(*stream.columns)).alias("row"))
     heard = spark.readStream.schema("key long, ok boolean").option("recursiveFileLookup", True).parquet(outcomes).withColumn("row", F.lit(None).cast("string"))
     events = listed.unionByName(heard).withColumn("time", F.current_timestamp()).withWatermark("time", "0 seconds")
