@@ -11,8 +11,12 @@ none are trained: a piece's probability falls with its rank by Zipf's law, singl
 
 Pre-tokens: maximal runs of one kind (ASCII white space, digits, letters with all bytes above 127, the rest), with
 one space before them if there is one. Together they are the whole text. A run of more than `LONG_BYTES` (text without
-spaces, base64) is hardly ever a prefix of another, so it stays out of the trie: its forward scores are computed along
-the run, a stretch at a time, with the last scores carried over, to the same result.
+spaces, base64) is hardly ever a prefix of another, but it has places that no piece reaches across, as the bytes around
+them stand together in no piece. Every segmentation breaks there, so the run is cut there and its distinct parts go into a
+trie of their own; a run's score is the sum of its parts'. A part without such a place for more than `LONG_BYTES` (one
+letter repeated) is a trie with a single branch: its forward scores are computed along it, a stretch at a time, with the
+last scores carried over, to the same result. Both look pieces up alike (`endings`): long pieces only where the last few
+bytes are those of a long piece.
 
 Defined cases: a null or empty text has no pre-tokens and no tokens; runs of any length are segmented whole; repeated
 rows are counted each; other columns don't matter; an empty table gives an empty result.
@@ -33,8 +37,10 @@ from pyspark.sql import functions as F
 
 from . import words as W
 
-#: Longer pre-tokens are scored alone, so many bytes of one at a time.
-LONG_BYTES, STRETCH = 192, 1 << 18
+#: Longer pre-tokens are cut; what can't be is scored alone, so many bytes at a time. Parts of so many bytes share a trie.
+LONG_BYTES, STRETCH, CUT_BYTES = 192, 1 << 18, 4 << 20
+#: Pieces longer than so many bytes are looked for only where that many last bytes are right.
+TAILS = (3, 4, 6, 8, 12, 16, 32, 64)
 #: Distinct pre-tokens of about so many bytes of text are put in one trie.
 TRIE_BYTES = 32 << 20
 
@@ -43,12 +49,16 @@ KIND = np.select([~W.NOT_SPACE, (_b >= 48) & (_b <= 57), ((_b | 32) >= 97) & ((_
 
 
 class Model(NamedTuple):
-    """Hashes of all pieces in order, their scores, the piece lengths there are, and a filter on the hashes' high bits."""
+    """Hashes of all pieces in order, their scores, the piece lengths there are, a filter on the hashes' high bits,
+    filters on the last bytes of longer pieces, the pieces of two bytes, and (as bits) any three bytes within a piece."""
 
     hashes: np.ndarray
     scores: np.ndarray
     lengths: tuple[int, ...]
     maybe: np.ndarray
+    tails: dict[int, np.ndarray]
+    pairs: np.ndarray
+    triples: np.ndarray
 
 
 def read_vocabulary(path: str) -> dict[bytes, float]:
@@ -69,7 +79,55 @@ def compile_model(vocabulary: dict[bytes, float]) -> Model:
     order = np.argsort(hashes)
     maybe = np.zeros(1 << 22, bool)
     maybe[hashes >> np.uint64(42)] = True
-    return Model(hashes[order], np.array([vocabulary[p] for p in pieces])[order], tuple(sorted({len(p) for p in pieces})), maybe)
+    sizes, tails, joined = np.array([len(p) for p in pieces]), {}, np.frombuffer(b"".join(pieces), np.uint8)
+    for n in TAILS:
+        tails[n] = np.zeros(1 << 20, bool)
+        tails[n][W.span_hash(joined, ends[sizes > n] - n, ends[sizes > n]) >> np.uint64(44)] = True
+    pairs, triples = np.zeros(1 << 16, bool), np.zeros(1 << 24, bool)
+    wide = joined.astype(np.int32)
+    pairs[wide[ends[sizes == 2] - 2] << 8 | wide[ends[sizes == 2] - 1]] = True
+    within = np.ones(len(wide), bool)  # where three bytes of one piece begin
+    within[np.concatenate([ends - 1, (ends - 2)[sizes > 1]])] = False
+    at = np.flatnonzero(within)
+    triples[wide[at] << 16 | wide[at + 1] << 8 | wide[at + 2]] = True
+    return Model(hashes[order], np.array([vocabulary[p] for p in pieces])[order], tuple(sorted(set(sizes.tolist()))), maybe, tails, pairs, np.packbits(triples, bitorder="little"))
+
+
+class Spans(NamedTuple):
+    """Prefix sums of some bytes, from which the hash of any span of them follows."""
+
+    total: np.ndarray
+    down: np.ndarray
+
+    def hash(self, stop: np.ndarray, size: int) -> np.ndarray:
+        begin = stop - size
+        return W.mix((self.total[stop] - self.total[begin]) * self.down[begin] + np.uint64(size * W._BASES[1] & (1 << 64) - 1))
+
+
+def spans(data: np.ndarray) -> Spans:
+    up, down = W._powers(W._BASES[0], len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+    return Spans(total, down)
+
+
+def endings(s: Spans, stop: np.ndarray, room: int | np.ndarray, model: Model) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length: which of the places `stop` a piece of that length ends at, and its score. A piece has `room` bytes at most."""
+    live, checked = np.arange(len(stop)), 0
+    for k in model.lengths:
+        for n in TAILS:
+            if checked < n < k and len(live):
+                live = live[(room if np.isscalar(room) else room[live]) > n]
+                live = live[model.tails[n][s.hash(stop[live], n) >> np.uint64(44)]]
+                checked = n
+        own = live if np.isscalar(room) and room >= k else live[(room if np.isscalar(room) else room[live]) >= k]
+        if not len(own):
+            return
+        h = s.hash(stop[own], k)
+        may = np.flatnonzero(model.maybe[h >> np.uint64(42)])
+        at = np.minimum(np.searchsorted(model.hashes, h[may]), len(model.hashes) - 1)
+        hit = model.hashes[at] == h[may]
+        yield k, own[may[hit]], model.scores[at[hit]]
 
 
 def pre_tokens(t: W.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,10 +161,7 @@ def trie_scores(tokens: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarr
         alike = alike[(lengths[alike] > d) & (lengths[alike - 1] > d)]
         alike = alike[data[starts[alike] + d] == data[starts[alike - 1] + d]]
         shared[alike] += 1
-    up, down = W._powers(W._BASES[0], len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-
+    hashed = spans(data)
     deepest = max(model.lengths)
     ring = deepest + 1
     score, pieces = np.zeros((ring, len(order))), np.zeros((ring, len(order)), np.int32)
@@ -117,20 +172,11 @@ def trie_scores(tokens: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarr
         new = shared[active] < d  # the first token of each node; those after it share what is computed for it
         node = active[new]
         best, count = np.full(len(node), -np.inf), np.zeros(len(node), np.int32)
-        stop = starts[node] + d
-        for k in model.lengths:
-            if k > d:
-                break
-            begin = stop - k
-            h = W.mix((total[stop] - total[begin]) * down[begin] + np.uint64(k * W._BASES[1] & (1 << 64) - 1))
-            may = np.flatnonzero(model.maybe[h >> np.uint64(42)])
-            at = np.minimum(np.searchsorted(model.hashes, h[may]), len(model.hashes) - 1)
-            hit = model.hashes[at] == h[may]
-            may, at = may[hit], at[hit]
-            s = score[(d - k) % ring, node[may]] + model.scores[at]
-            c = pieces[(d - k) % ring, node[may]] + 1
-            better = (s > best[may]) | (s == best[may]) & (c < count[may])
-            best[may[better]], count[may[better]] = s[better], c[better]
+        for k, at, gain in endings(hashed, starts[node] + d, d, model):
+            own = score[(d - k) % ring, node[at]] + gain
+            c = pieces[(d - k) % ring, node[at]] + 1
+            better = (own > best[at]) | (own == best[at]) & (c < count[at])
+            best[at[better]], count[at[better]] = own[better], c[better]
         which = np.cumsum(new) - 1
         score[d % ring, active], pieces[d % ring, active] = best[which], count[which]
         done = lengths[active] == d
@@ -147,32 +193,73 @@ def run_score(run: bytes, model: Model) -> tuple[int, float]:
     for at in range(0, len(run), STRETCH):
         begin = at + 1 - len(score)
         data = np.frombuffer(run, np.uint8, min(len(run), at + STRETCH) - begin, begin)
-        stops, sizes, gains = [], [], []
-        for k in model.lengths:
-            stop = np.arange(max(at - begin + 1, k), len(data) + 1)
-            h = W.span_hash(data, stop - k, stop)
-            may = np.flatnonzero(model.maybe[h >> np.uint64(42)])
-            where = np.minimum(np.searchsorted(model.hashes, h[may]), len(model.hashes) - 1)
-            hit = model.hashes[where] == h[may]
-            stops.append(stop[may[hit]])
-            sizes.append(np.full(hit.sum(), k))
-            gains.append(model.scores[where[hit]])
-        stop = np.concatenate(stops)
-        order = np.argsort(stop, kind="stable")
-        size, gain = np.concatenate(sizes)[order].tolist(), np.concatenate(gains)[order].tolist()
-        ends = np.searchsorted(stop[order], np.arange(at - begin + 1, len(data) + 2)).tolist()
-        for a, b in zip(ends, ends[1:], strict=False):
-            best, count = -math.inf, 0
-            for j in range(a, b):
-                s, c = score[-size[j]] + gain[j], pieces[-size[j]] + 1
-                if s > best or s == best and c < count:
-                    best, count = s, c
+        stop = np.arange(at - begin + 1, len(data) + 1)
+        froms, ends, gains = [], [], []
+        for k, where, gain in endings(spans(data), stop, stop, model):
+            froms.append(stop[where] - k)
+            ends.append(where)
+            gains.append(gain)
+        order = np.argsort(np.concatenate(ends), kind="stable")
+        last = np.searchsorted(np.concatenate(ends)[order], np.arange(1, len(stop) + 1)).tolist()
+        froms, gains = np.concatenate(froms)[order].tolist(), np.concatenate(gains)[order].tolist()
+        j = 0
+        for b in last:
+            i = froms[j]  # single bytes are pieces, so there is one
+            best = score[i] + gains[j]
+            for j in range(j + 1, b):
+                s = score[froms[j]] + gains[j]
+                if s > best or s == best and pieces[froms[j]] < pieces[i]:
+                    best, i = s, froms[j]
+            j = b
             score.append(best)
-            pieces.append(count)
+            pieces.append(pieces[i] + 1)
         score, pieces = score[-reach:], pieces[-reach:]
     return pieces[-1], score[-1]
 
 
+def breaks(data: np.ndarray, model: Model) -> np.ndarray:
+    """Of each place between two bytes (the first is before the second byte): reaches no piece across it?"""
+    out = np.zeros(max(len(data) - 1, 0), bool)
+    for at in range(0, len(out), CUT_BYTES):
+        from_, to = max(at - 1, 0), min(at + CUT_BYTES, len(out))
+        wide = data[from_ : to + 2].astype(np.int32)
+        code = wide[:-2] << 16 | wide[1:-1] << 8 | wide[2:]
+        joined = (model.triples[code >> 3] >> (code & 7) & 1).astype(bool)
+        across = model.pairs[wide[:-1] << 8 | wide[1:]]
+        across[:-1] |= joined
+        across[1:] |= joined
+        out[at:to] = ~across[at - from_ : to - from_]
+    return out
+
+
+def cut_scores(runs: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Of each run the number of pieces and the log-probability, summed over the parts between its breaks."""
+    data = np.frombuffer(b"".join(runs), np.uint8)
+    lasts = np.cumsum([len(r) for r in runs])
+    stops = np.zeros(len(data), bool)  # the last byte of each part
+    stops[:-1] = breaks(data, model)
+    stops[lasts - 1] = True
+    out_pieces, out_score, begin = np.zeros(len(runs), np.int64), np.zeros(len(runs)), 0
+    while begin < len(data):
+        at = min(begin + CUT_BYTES, len(data)) - 1
+        to = at + int(np.argmax(stops[at:])) + 1
+        ends = begin + np.flatnonzero(stops[begin:to]) + 1
+        starts = np.concatenate([[begin], ends[:-1]])
+        _, first, which = np.unique(W.span_hash(data[begin:to], starts - begin, ends - begin), return_index=True, return_inverse=True)
+        parts = [data[a:b].tobytes() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        pieces, score = np.zeros(len(parts), np.int64), np.zeros(len(parts))
+        if short := [i for i, t in enumerate(parts) if len(t) <= LONG_BYTES]:
+            pieces[short], score[short] = trie_scores([parts[i] for i in short], model)
+        for i, t in enumerate(parts):
+            if len(t) > LONG_BYTES:
+                pieces[i], score[i] = run_score(t, model)
+        run = np.searchsorted(lasts, ends)
+        np.add.at(out_pieces, run, pieces[which])
+        np.add.at(out_score, run, score[which])
+        begin = to
+    return out_pieces, out_score
+
+
 def count_batch(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each row: pre-tokens, tokens, log-probability."""
     hashes, each, distinct = [], [], {}
@@ -193,9 +280,8 @@ def count_batch(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.nda
     pieces, score = np.zeros(len(tokens), np.int64), np.zeros(len(tokens))
     if short := [i for i, t in enumerate(tokens) if len(t) <= LONG_BYTES]:
         pieces[short], score[short] = trie_scores([tokens[i] for i in short], model)
-    for i, t in enumerate(tokens):
-        if len(t) > LONG_BYTES:
-            pieces[i], score[i] = run_score(t, model)
+    if long := [i for i, t in enumerate(tokens) if len(t) > LONG_BYTES]:
+        pieces[long], score[long] = cut_scores([tokens[i] for i in long], model)
     order = np.argsort(known)
     at = order[np.searchsorted(known[order], np.concatenate(hashes))]
     rows = np.concatenate([[0], np.cumsum(n)])

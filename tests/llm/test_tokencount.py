@@ -1,6 +1,8 @@
+import base64
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -85,3 +87,32 @@ def test_long_runs_are_segmented_whole(spark, vocabulary, monkeypatch):
     for t in (x.encode() for x in runs):
         n, s = O.run_score(t[:2000], model)
         assert plain_best(t[:2000], vocabulary) == (pytest.approx(s), n)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.text("abcdehilnorstu京都=é", min_size=1, max_size=400) | st.binary(min_size=1, max_size=200), min_size=1, max_size=6), st.integers(1, 64))
+def test_runs_are_cut_only_where_no_piece_reaches_across(runs, cut_bytes):
+    vocabulary = test_trie_gives_each_token_its_best_segmentation.__dict__.setdefault("v", O.read_vocabulary(VOCABULARY))
+    model = test_trie_gives_each_token_its_best_segmentation.__dict__.setdefault("m", O.compile_model(vocabulary))
+    runs = [r.encode() if isinstance(r, str) else r for r in runs]
+    before, O.CUT_BYTES = O.CUT_BYTES, cut_bytes
+    try:
+        pieces, score = O.cut_scores(runs, model)
+        free = O.breaks(np.frombuffer(runs[0], np.uint8), model)
+    finally:
+        O.CUT_BYTES = before
+    for r, n, s in zip(runs, pieces, score, strict=True):
+        want = plain_best(r, vocabulary)
+        assert (n, s) == (want[1], pytest.approx(want[0]))
+    for i in np.flatnonzero(free).tolist():
+        assert not any(runs[0][a:b] in vocabulary for a in range(max(0, i - LONGEST), i + 1) for b in range(i + 2, min(len(runs[0]), a + LONGEST) + 1))
+
+
+def test_a_text_without_spaces_is_cut_into_short_parts(vocabulary):
+    model, rng = O.compile_model(vocabulary), random.Random(5)
+    run = base64.b64encode(rng.randbytes(30_000))
+    free = O.breaks(np.frombuffer(run, np.uint8), model)
+    assert np.diff(np.flatnonzero(free)).max() <= O.LONG_BYTES
+    pieces, score = O.cut_scores([run, b"a" * 700], model)
+    assert (int(pieces[0]), score[0]) == (O.run_score(run, model)[0], pytest.approx(O.run_score(run, model)[1]))
+    assert (int(pieces[1]), score[1]) == O.run_score(b"a" * 700, model)
