@@ -3,8 +3,10 @@
 One pattern finds the entities. An entity is its type and its normal form (letter case, separators and titles taken
 off), so all its mentions, in whatever format, get one surrogate (coreference). Names are entities by the word: given
 names, which have a gender (that of the title, else that of a listed name), and family names, so that a person keeps one
-surrogate with any title or none. A document that names a person with a title is searched again for its full and family
-name without one. A surrogate is made from a keyed SHA-512 of type, normal form and attempt: of the same type, with the
+surrogate with any title or none. A document that names a person with a title is searched again for the full and family
+name without one, and so is every other document for the full name and, where it stands, the family name. Names that are
+ordinary words of the corpus too (Long, Young; by grouped counts of words in small letters) are not looked for alone. A
+surrogate is made from a keyed SHA-512 of type, normal form and attempt: of the same type, with the
 same kinds of characters in the same script, for names the same gender and number of words, for cards and account
 numbers check digits that are valid where the entity's are.
 
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 from .shared import checkpoint, free_name
 
 MAX_BROADCAST_ROWS = 20_000
+#: A part of a name is an ordinary word too if it occurs in small letters so many times as often as in titled names.
+COMMON = 2
 #: Keyed draws of an entity, and the entities of one format that one task then turns round.
 ATTEMPTS, ROUND = 12, 100_000
 
@@ -61,11 +65,15 @@ PATTERNS = {
     "ssn": rf"(?<!-)\d{{3}}-\d{{2}}-\d{{4}}(?!-){_END}",
     "name": rf"(?=[DFHMPS]){TITLE}\p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,2}}",
 }
+NAME_WORD = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)*"
+TITLED = rf"(?=[DFHMPS])(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})[. ]"
+#: A word in small letters that is no part of an address or a compound.
+SMALL_WORD = r"(?<![\p{L}\p{N}.@/_-])\p{Ll}{2,}+(?![\p{L}\p{N}@/_-]|\.[\p{L}\p{N}])"
 _any = lambda *kinds: "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
 #: An entity begins where no letter or digit stands before; then its first character decides what it can be.
 ENTITY = rf"(?<![\p{{L}}\p{{N}}])(?:(?=\p{{L}})(?:{_any('email', 'secret', 'iban', 'name')})|(?=[\d+(])(?:{_any('email', 'secret', 'ip', 'phone', 'card', 'ssn')}))"
 #: Every entity has a digit, an @, a title, the start of a key or 32 hex letters: texts without any are not searched further.
-SIGN = rf"[\d@]|AKIA|gh[pousr]_|sk-|[a-f]{{32}}|[A-F]{{32}}|(?=[DFHMPS])(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})[. ]"
+SIGN = rf"[\d@]|AKIA|gh[pousr]_|sk-|[a-f]{{32}}|[A-F]{{32}}|{TITLED}"
 
 
 def digits_of(c: Column) -> Column:
@@ -199,13 +207,49 @@ def shown(form: Column) -> Column:
     return F.regexp_replace(form, "^[mfn]:", "")
 
 
-def named_again(found: Column) -> Column:
-    """The pattern of entities and of the full and family names that were found with a title; null without any."""
-    names = F.transform(F.filter(found, lambda m: m.rlike(f"^{TITLE}")), lambda m: F.regexp_replace(m, f"^{TITLE}", ""))
-    family = F.filter(F.transform(names, lambda n: F.substring_index(n, " ", -1)), lambda n: F.length(n) > 2)
-    longest_first = F.array_sort(F.transform(F.array_distinct(F.concat(names, family)), lambda n: F.struct((-F.length(n)).alias("n"), n.alias("name"))))
-    joined = F.array_join(F.transform(longest_first, lambda x: x["name"]), "|")
-    return F.when(F.size(names) > 0, F.concat(F.lit(rf"{ENTITY}|(?<![\p{{L}}\p{{N}}])(?:"), joined, F.lit(f"){_END}")))
+def common_words(docs: DataFrame, text: str, words: DataFrame) -> DataFrame:
+    """Those of `words` (word in small letters, n titled names that hold it) that are ordinary words of the corpus too:
+    it has them in small letters at least `COMMON` times as often. Counts are summed before they are shuffled."""
+    seen = docs.select(F.explode(F.regexp_extract_all(text, F.lit(SMALL_WORD), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("seen"))
+    return words.join(seen, "word").where(F.col("seen") >= COMMON * F.col("n")).select("word")
+
+
+def names_again(docs: DataFrame, text: str) -> DataFrame | None:
+    """(row, pattern) by the hash of a text: a pattern of the names to look for in it without a title; None without any.
+
+    Looked for are the full and the family names that the text has with a title, and full names that any other text has
+    with a title, together with their family names. A family name that is an ordinary word too (`common_words`) is not
+    looked for alone, and a full name whose given name is one only in texts that have it with a title.
+    """
+    row = F.xxhash64(text).alias("row")
+    mentions = F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}\p{{N}}]){PATTERNS['name']}"), F.lit(0))
+    titled = docs.where(F.col(text).rlike(TITLED)).select(row, F.explode(mentions).alias("name")).withColumn("name", F.regexp_replace("name", f"^{TITLE}", ""))
+    titled = checkpoint(titled.groupBy("row", "name").agg(F.count("*").alias("n")))
+    if titled.isEmpty():
+        return None
+    names = titled.groupBy("name").agg(F.sum("n").alias("n"))
+    words = names.select(F.explode(F.split(F.lower("name"), " ")).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n"))
+    common = checkpoint(common_words(docs, text, words))
+    pair = F.regexp_extract("name", rf"{NAME_WORD} {NAME_WORD}$", 0)
+    pairs = names.select(pair.alias("name")).where("name <> ''").distinct().withColumn("word", F.lower(F.substring_index("name", " ", 1)))
+    pairs = checkpoint(pairs.join(common, "word", "left_anti").select("name"))
+    # overlapping: the first of "Today Anna Schmidt" must not hide the second
+    places = F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}\p{{N}}])(?=({NAME_WORD} {NAME_WORD}){_END})"), F.lit(1))
+    untitled = docs.select(row, F.explode(F.array_distinct(places)).alias("name"))
+    untitled = untitled.join(F.broadcast(pairs) if pairs.count() <= MAX_BROADCAST_ROWS else pairs, "name").select("row", "name")
+    full = checkpoint(titled.select("row", "name").unionByName(untitled).distinct())
+    last = F.substring_index("name", " ", -1)
+    family = full.where((F.length(last) > 2) | (last == F.col("name"))).select("row", last.alias("name"), F.lower(last).alias("word"))
+    family = family.join(common, "word", "left_anti").select("row", "name")
+    each = full.where(F.col("name").contains(" ")).unionByName(family).groupBy("row").agg(F.collect_set(F.struct((-F.length("name")).alias("n"), "name")).alias("names"))
+    longest_first = F.array_join(F.transform(F.array_sort("names"), lambda x: x["name"]), "|")
+    return checkpoint(each.select("row", F.concat(F.lit(rf"{ENTITY}|(?<![\p{{L}}\p{{N}}])(?:"), longest_first, F.lit(f"){_END}")).alias("pattern")))
+
+
+def by_row(docs: DataFrame, text: str, rows: DataFrame, row: str) -> DataFrame:
+    """docs with the columns of `rows`, found by the hash of the text; broadcast if they are few."""
+    n = rows.count()
+    return docs.withColumn(row, F.xxhash64(text)).join(F.broadcast(rows) if n <= MAX_BROADCAST_ROWS else rows, row, "left").drop(row)
 
 
 def shape(kind: Column, form: Column) -> Column:
@@ -277,17 +321,19 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     typed = lambda found: F.transform(found, lambda m: F.struct(m.alias("found"), type_of(m).alias("kind")))
     parts = lambda typed: F.transform(typed, lambda x: F.struct(x["found"].alias("found"), x["kind"].alias("kind"), entities_of(x["kind"], x["found"]).alias("parts")))
     first = F.when(F.col(text).rlike(SIGN), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
-    marked = docs.withColumn(found, first).withColumn(pattern, named_again(F.col(found)))
-    marked = marked.withColumn(found, F.when(F.col(pattern).isNotNull(), F.regexp_extract_all(text, F.col(pattern), F.lit(0))).otherwise(F.col(found)))
+    again = names_again(docs, text)
+    if again is None:
+        marked = docs.withColumn(found, first).withColumn(pattern, F.lit(None).cast("string"))
+    else:
+        marked = by_row(docs, text, again.withColumnsRenamed({"row": row, "pattern": pattern}), row)
+        marked = marked.withColumn(found, F.when(F.col(pattern).isNotNull(), F.regexp_extract_all(text, F.col(pattern), F.lit(0))).otherwise(first))
     hits = marked.where(F.size(found) > 0).select(F.xxhash64(text).alias("row"), F.explode(F.array_distinct(F.flatten(F.transform(parts(typed(F.col(found))), lambda x: x["parts"])))).alias("m"))
     hits = checkpoint(hits.select("row", "m.kind", "m.form").distinct())
     late = checkpoint(looked_up(hits.select("kind", "form").distinct(), key))
     rows = hits.join(late, ["kind", "form"]).groupBy("row").agg(F.map_from_entries(F.collect_set(F.struct(F.concat("kind", F.lit("|"), "form"), "new"))).alias(moved))
     rows = checkpoint(rows.withColumnRenamed("row", row))
-    n = rows.count()
-    if n:
-        keyed_rows = marked.withColumn(row, F.xxhash64(text))
-        marked = keyed_rows.join(F.broadcast(rows) if n <= MAX_BROADCAST_ROWS else rows, row, "left").drop(row)
+    if not rows.isEmpty():
+        marked = by_row(marked, text, rows, row)
         known = lambda e: F.try_element_at(F.col(moved), F.concat(e["kind"], F.lit("|"), e["form"]))
     else:
         known = lambda e: F.lit(None).cast("string")

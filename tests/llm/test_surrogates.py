@@ -106,7 +106,7 @@ def test_dense_formats_stay_distinct(spark, monkeypatch):
 
 
 def test_names_with_and_without_titles(spark):
-    texts = ["Frau Anna Schmidt came. Dr Anna Schmidt spoke, then Anna Schmidt left; Schmidt's Schmidts. Dr. Xyra Weber", "Mrs Xyra Weber and Herr Weber", "Anna Schmidt is not searched here"]
+    texts = ["Frau Anna Schmidt came. Dr Anna Schmidt spoke, then Anna Schmidt left; Schmidt's Schmidts. Dr. Xyra Weber", "Mrs Xyra Weber and Herr Weber", "Schmidt alone is not searched here, nor Anna alone"]
     a, b, c = run(spark, texts)
     one, two, three, four, five, six = re.fullmatch(r"Frau (\w+ \w+) came\. Dr (\w+ \w+) spoke, then (\w+ \w+) left; (\w+)'s (\w+)\. Dr\. (\w+ \w+)", a).groups()
     assert one == two == three and one.split()[0].lower() in O.FEMALE_NAMES and one.split()[1] == four != "Schmidt" and five == "Schmidts"
@@ -121,3 +121,30 @@ def test_check_digits_of_accounts(spark):
     a, b = run(spark, [f"to {valid} now", f"to {invalid} now"])
     assert rest(a.split()[1]) == 1 and rest(valid) == 1 and a.split()[1] != valid and a.split()[1][:2] == "GB"
     assert rest(invalid) != 1 and len(b) == len(f"to {invalid} now")
+
+
+def test_full_names_are_found_in_other_documents(spark):
+    texts = ["Frau Anna Schmidt and Herr Klaus Meier-Wolf spoke.", "Yesterday Anna Schmidt wrote; Schmidt called Klaus Meier-Wolf.", "Schmidt and Wolf, Klaus, Anna Schmidting, Hanna Schmidt", "Anna Schmidt"]
+    a, b, c, d = run(spark, texts)
+    anna, klaus = re.fullmatch(r"Frau (\w+ \w+) and Herr (\w+ \S+) spoke\.", a).groups()
+    assert anna != "Anna Schmidt" and klaus != "Klaus Meier-Wolf" and anna.split()[0].lower() in O.FEMALE_NAMES
+    assert b == f"Yesterday {anna} wrote; {anna.split()[1]} called {klaus}." and c == texts[2] and d == anna
+
+
+def test_names_that_are_ordinary_words_stay(spark):
+    texts = ["Mr Long called. Long lines wait. A Long day. Mr Tom Long and Tom Long", "a long way, so long as long, long.", "Miss Great Britain and Frau Weber. Weber ist weber@long.de", "Great Britain is a great, great, great island. Tom Long"]
+    a, b, c, d = run(spark, texts)
+    family, given = re.fullmatch(r"Mr (\w+) called\. Long lines wait\. A Long day\. Mr (\w+) \1 and \2 \1", a).groups()
+    assert family != "Long" and given.lower() in O.MALE_NAMES and b == texts[1]
+    weber = re.fullmatch(r"Miss \w+ \w+ and Frau (\w+)\. (\w+) ist [a-z]{5}@[a-z]{4}\.de", c).groups()
+    assert weber[0] == weber[1] != "Weber" and "Great Britain" not in c
+    assert d == f"Great Britain is a great, great, great island. {given} {family}"
+
+
+def test_many_names_meet_by_shuffle(spark, monkeypatch):
+    texts = [f"Dr Anna {x}{y}ler came." for x in "BDFGKLM" for y in "aeio"] + [f"then Anna {x}{y}ler left" for x in "BDFGKLM" for y in "aeio"] * 3
+    few = run(spark, texts)
+    monkeypatch.setattr(O, "MAX_BROADCAST_ROWS", 0)
+    assert run(spark, texts) == few and not any("ler " in t for t in few)
+    names = [re.search(r"\w+ \w+(?= came)", t)[0] for t in few[:28]]
+    assert len(set(names)) == 28 and few[28:] == [f"then {n} left" for n in names] * 3
