@@ -8,10 +8,14 @@ are a few; in vectors without any structure, such as the given table's, near one
 
 Every vector is put into the list of its nearest centroid. Lists are cut by hashed id into parts of about `PART_ROWS`
 rows, so that a list with a third of all vectors is many groups, and the queries of a list into blocks of about
-`QUERY_ROWS`. A query goes to the parts of its nearest lists; a part computes the asymmetric distance tables of its
-queries, ranks its codes by table look-ups, and reranks the best `shortlist` exactly, on the original vectors in double
-precision. What is broadcast is the model alone: its size is bounded by the parameters. `k` rows per query and part come
-back.
+`QUERY_ROWS`. A query goes to the parts of its nearest lists; a part ranks its decoded codes for its queries and reranks
+the best `shortlist` exactly, on the original vectors in double precision, and then all others that may still be nearer:
+a cosine differs from that of the code by no more than the code's distance from its vector. What is broadcast is the
+model and a radius for each list: their size is bounded by the parameters. `k` rows per query and part come back.
+
+The sample only says where to look first. The k-th score found there is a query's bound, and the query then goes to
+every other list with a vector within it by the triangle inequality. So the result is exact for any rows: in clustered
+vectors the second search meets few lists, without structure all.
 
 Defined cases: vectors that are null, of zero length or norm, of another dimension than most, or hold null or
 non-finite components take no part, neither do rows without vec_id; scores that are equal to twelve digits are ties and
@@ -30,11 +34,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
+from .shared import checkpoint
 
 MAX_LISTS, SAMPLE = 1_024, 64
 PART_ROWS, QUERY_ROWS = 2_000, 20_000
-#: Queries of a part whose distances are held at once.
+#: Queries of a part whose scores are held at once.
 AT_ONCE = 128
+#: More than the rounding of a score or a bound.
+SLACK = 1e-9
 
 #: Rows whose distances to all centres are held at a time while training.
 ROWS_AT_ONCE = 4_096
@@ -44,6 +51,9 @@ class Model(NamedTuple):
     centroids: np.ndarray  # lists x dimensions
     codebooks: np.ndarray  # sub-spaces x codes x dimensions of a sub-space
 
+    def decode(self, codes: np.ndarray, at: int) -> np.ndarray:
+        return self.centroids[at] + np.concatenate([book[codes[:, j]] for j, book in enumerate(self.codebooks)], axis=1)
+
     def codes(self, unit: np.ndarray, lists: np.ndarray) -> np.ndarray:
         residual = unit - self.centroids[lists]
         m, codes, width = self.codebooks.shape
@@ -120,29 +130,37 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def rank(queries: tuple[np.ndarray, np.ndarray], members: tuple[np.ndarray, np.ndarray], m: Model, at: int, k: int, shortlist: int) -> tuple[np.ndarray, ...]:
-    """query_id, vec_id and score of the k best of one list's members (ids in order, unit vectors) for each query."""
-    (q_ids, q), (ids, x) = queries, members
-    codes = m.codes(x, np.full(len(x), at)).astype(np.intp)
-    width, out = m.codebooks.shape[2], []
+def rank(queries: tuple[np.ndarray, np.ndarray, np.ndarray], members: tuple[np.ndarray, np.ndarray], m: Model, at: int, k: int, shortlist: int) -> tuple[np.ndarray, ...]:
+    """query_id, vec_id and score of the k best of one list's members (ids in order, unit vectors) for each query (ids,
+    unit vectors, scores below which nothing counts)."""
+    (q_ids, q, enough), (ids, x) = queries, members
+    decoded = m.decode(m.codes(x, np.full(len(x), at)), at)
+    error, out = np.sqrt(((x - decoded) ** 2).sum(axis=1)), []
     for i in range(0, len(q), AT_ONCE):
         own, now = q_ids[i : i + AT_ONCE], q[i : i + AT_ONCE]
-        rest, far = now - m.centroids[at], np.zeros((len(now), len(ids)))
-        for j, book in enumerate(m.codebooks):  # asymmetric: the query itself against every code
-            part = rest[:, j * width : (j + 1) * width]
-            table = ((part[:, None, :] - book[None]) ** 2).sum(axis=2)
-            far += table[:, codes[:, j]]
-        far[own[:, None] == ids[None]] = np.inf
-        near = np.argsort(far, axis=1, kind="stable")[:, :shortlist]  # of equal codes the smaller ids
-        score = (x[near] * now[:, None, :]).sum(axis=2)
-        score[~np.isfinite(np.take_along_axis(far, near, axis=1))] = -np.inf
-        top = np.lexsort((ids[near], -score.round(12)))[:, :k]
-        found = np.take_along_axis(score, top, axis=1)
-        there = np.isfinite(found)
-        out.append((np.broadcast_to(own[:, None], found.shape)[there], ids[np.take_along_axis(near, top, axis=1)][there], found[there]))
+        near, other = now @ decoded.T, own[:, None] != ids[None]
+        near[~other] = -np.inf
+        first = np.argpartition(-near, min(shortlist, len(ids)) - 1, axis=1)[:, :shortlist]
+        found = np.where(np.take_along_axis(other, first, axis=1), (x[first] * now[:, None, :]).sum(axis=2), -np.inf)
+        least = np.maximum(enough[i : i + AT_ONCE], kth(found, k)) - SLACK
+        left = near + error >= least[:, None]  # what the bounds don't exclude
+        column = left.any(axis=0).nonzero()[0]
+        score = np.where(left[:, column], now @ x[column].T, -np.inf)
+        row, col = (score >= np.maximum(least, kth(score, k) - SLACK)[:, None]).nonzero()
+        col = column[col]
+        score = (x[col] * now[row]).sum(axis=1)
+        best = np.lexsort((ids[col], -score.round(12), row))
+        row, col, score = row[best], col[best], score[best]
+        top = np.arange(len(row)) - np.searchsorted(row, row) < k
+        out.append((own[row[top]], ids[col[top]], score[top]))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+def kth(score: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row, -inf if there are fewer."""
+    return -np.partition(-score, k - 1, axis=1)[:, k - 1] if score.shape[1] >= k else np.full(len(score), -np.inf)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None = None, recall: float = 0.97, parts: int = 16, shortlist: int = 32, part_rows: int = PART_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine) of the k nearest that are found for each row of `is_query`."""
     result = "query_id long, rank int, vec_id long, score double"
@@ -159,37 +177,50 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None =
     model = spark.sparkContext.broadcast(trained)
     asking = own.where(is_query)
 
-    def places(batch: pa.RecordBatch, most: int) -> np.ndarray:
-        return by_distance(unit(matrix(batch.column("embedding"))), model.value.centroids)[:, :most]
-
-    def counted(rows: DataFrame, most: int) -> np.ndarray:
-        """How many of the rows have each list among their nearest."""
+    def places(batch: pa.RecordBatch, most: int, beyond: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the batch and their nearest lists; with radii those beyond these that may hold what isn't found yet."""
+        x, centroids = unit(matrix(batch.column("embedding"))), model.value.centroids
+        order = by_distance(x, centroids)
+        if beyond is None:
+            at = order[:, :most]
+            return np.repeat(np.arange(len(at)), at.shape[1]), at.ravel()
+        apart = np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (centroids**2).sum(axis=1) - 2 * x @ centroids.T, 0))
+        may = 1 - np.maximum(apart - beyond[: len(centroids)] - SLACK, 0) ** 2 / 2 >= batch.column("least").to_numpy()[:, None] - SLACK
+        np.put_along_axis(may, order[:, :most], False, axis=1)
+        return may.nonzero()
+
+    def counted(rows: DataFrame, most: int, beyond: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """How many of the rows go to each list, and the largest distance of one from its centroid."""
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(lists, np.int64)
+            sums, radius = np.zeros(lists, np.int64), np.zeros(lists)
             for batch in batches:
                 if batch.num_rows:
-                    sums += np.bincount(places(batch, most).ravel(), minlength=lists)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(lists)), pa.array(sums)], ["list", "n"])
-
-        out = np.zeros(lists, np.int64)
-        for r in rows.mapInArrow(count, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():  # a row per list
-            out[r["list"]] = r["n"]
+                    row, at = places(batch, most, beyond)
+                    sums += np.bincount(at, minlength=lists)
+                    if beyond is None and most == 1:
+                        np.maximum.at(radius, at, np.sqrt(((unit(matrix(batch.column("embedding"))) - model.value.centroids[at]) ** 2).sum(axis=1)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(lists)), pa.array(sums), pa.array(radius)], ["list", "n", "radius"])
+
+        out = np.zeros(lists, np.int64), np.zeros(lists)
+        for r in rows.mapInArrow(count, "list long, n long, radius double").groupBy("list").agg(F.sum("n").alias("n"), F.max("radius").alias("radius")).collect():  # a row per list
+            out[0][r["list"]], out[1][r["list"]] = r["n"], r["radius"]
         return out
 
-    # the cuts of each list follow its size: a cell is a part of its members with a block of its queries
-    cuts, blocks = np.maximum(-(-counted(own, 1) // part_rows), 1), np.maximum(-(-counted(asking, probes) // query_rows), 1)
-    first = np.concatenate([[0], np.cumsum(cuts * blocks)])
+    n_members, radii = counted(own, 1)
+    cuts = np.maximum(-(-n_members // part_rows), 1)  # the cuts of each list follow its size
+
+    def to_cells(most: int, blocks: np.ndarray, of_members: bool, beyond: np.ndarray | None = None):
+        """A cell is a part of a list's members with a block of its queries."""
+        first = np.concatenate([[0], np.cumsum(cuts * blocks)])
 
-    def to_cells(most: int, of_members: bool):
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                at = places(batch, most)
-                row, at = np.repeat(np.arange(batch.num_rows), at.shape[1]), at.ravel()
+                row, at = places(batch, most, beyond)
                 drawn = W.mix(batch.column("vec_id").to_numpy().view(np.uint64).copy())[row]
-                part, block = (drawn % cuts[at].astype(np.uint64)).astype(np.int64), (drawn % blocks[at].astype(np.uint64)).astype(np.int64)
+                part, block = (drawn % cuts[at].astype(np.uint64)).astype(np.int64), (drawn % np.maximum(blocks[at], 1).astype(np.uint64)).astype(np.int64)
                 times = (blocks if of_members else cuts)[at]
                 step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                 row, at, part, block = (np.repeat(v, times) for v in (row, at, part, block))
@@ -199,8 +230,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None =
 
         return deal
 
-    kind = f"vec_id long, embedding {dict(own.dtypes)['embedding']}, list int, cell long"
-    indexed, asked = own.mapInArrow(to_cells(1, True), kind), asking.mapInArrow(to_cells(probes, False), kind)
+    kind = f"vec_id long, embedding {dict(own.dtypes)['embedding']}"
     best = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def in_order(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -210,9 +240,24 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, lists: int | None =
     def scan(key, queries, members):
         if not len(queries) or not len(members):
             return best.empty_table()
-        found = rank(in_order(queries), in_order(members), model.value, members["list"][0].as_py(), k, shortlist)
+        asked = queries["vec_id"].to_numpy(), unit(matrix(queries["embedding"].combine_chunks())), queries["least"].to_numpy()
+        found = rank(asked, in_order(members), model.value, members["list"][0].as_py(), k, shortlist)
         return pa.Table.from_arrays([pa.array(c) for c in found], schema=best)
 
-    found = asked.groupBy("cell").cogroup(indexed.groupBy("cell")).applyInArrow(scan, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    def nearest_of(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    def looked_up(asking: DataFrame, beyond: np.ndarray | None = None) -> DataFrame:
+        """The k best in the parts of each query's nearest lists, or (with radii) of the others that may hold nearer ones."""
+        blocks = -(-counted(asking, probes, beyond)[0] // query_rows)  # none where no query goes: such lists stay out
+        indexed = own.mapInArrow(to_cells(1, blocks, True), f"{kind}, list int, cell long")
+        asked = asking.mapInArrow(to_cells(probes, blocks, False, beyond), f"{kind}, least double, list int, cell long")
+        return asked.groupBy("cell").cogroup(indexed.groupBy("cell")).applyInArrow(scan, "query_id long, vec_id long, score double")
+
+    first = checkpoint(nearest_of(looked_up(asking.withColumn("least", F.lit(-2.0)))).select("query_id", "vec_id", "score", "rank"))
+    bounds = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+    again = checkpoint(asking.join(bounds, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(-2.0))))
+    found = first.drop("rank").unionByName(looked_up(again, radii))
+    return nearest_of(found).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

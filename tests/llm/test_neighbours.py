@@ -64,3 +64,13 @@ def test_a_list_with_a_third_of_all_rows(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = O.search(df, O.F.col("vec_id") % 100 == 0, part_rows=100).collect()
     assert recall(got, plain(rows, lambda i: i % 100 == 0)) >= 0.95
+
+
+def test_rows_that_the_sample_says_little_of(spark):
+    """Tight groups, whose members share a code, and queries unlike all others."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(8, 16))
+    rows = [(i, ((centres[i % 8] + 1e-3 * rng.normal(size=16)) if i % 50 else rng.normal(size=16)).tolist(), 0) for i in range(1, 4001)]
+    rows += [(10_000 + 50 * i, (centres[i] + 1e-3 * rng.normal(size=16)).tolist(), 0) for i in range(8)]
+    got = O.search(spark.createDataFrame(rows, SCHEMA), O.F.col("vec_id") % 50 == 0, lists=4).collect()
+    assert recall(got, plain(rows, lambda i: i % 50 == 0)) == 1
