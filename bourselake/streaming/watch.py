@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.ranges import since
 from ..functions.values import ZONE, publish_delay_seconds
 from ..sources.tables import checkpoint as cut
-from .retry import KEEP_SECONDS, MAX_FAILURES, PAUSE_SECONDS, TRY, attempts, use_timers
+from .retry import GROUPS, KEEP_SECONDS, MAX_FAILURES, PAUSE_SECONDS, TRY, attempts, use_timers
 
 #: A listing shows an item until a minute past the end of its day; nothing is later than that.
 LATENESS = "1 day 1 minute"
@@ -73,7 +73,7 @@ def run_name(spark: SparkSession, checkpoint: str) -> str:
 
 def append_until_done(
     stream: DataFrame, key: str, build: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, str, int], None], checkpoint: str, trigger: dict | None = None,
-    order: Column | None = None, most: int = MAX_FAILURES, pause: float = PAUSE_SECONDS, keep: float = KEEP_SECONDS, written: DataFrame | None = None,
+    order: Column | None = None, most: int = MAX_FAILURES, pause: float = PAUSE_SECONDS, keep: float = KEEP_SECONDS, written: DataFrame | None = None, groups: int = GROUPS,
 ) -> StreamingQuery:
     """Appends what `build` makes of the rows, each key once; a row of which it makes nothing yet (its page hasn't landed,
     say) is tried again when `pause` seconds are over, `most` times in all. Then it is left to the backfill.
@@ -103,7 +103,7 @@ def append_until_done(
         tried = due.select(F.col(key).alias("key")).join(done.select(F.col(key).alias("key"), F.lit(True).alias("ok")), "key", "left")
         write_batch(tried.select("key", F.coalesce("ok", F.lit(False)).alias("ok")).coalesce(1), outcomes, run, number)
 
-    changes = attempts(events, most, pause, keep, written)
+    changes = attempts(events, most, pause, keep, written, groups)
     return changes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 

@@ -54,6 +54,19 @@ def test_keys_that_are_written_are_not_tried(spark, tmp_path):
     assert run((3, minutes(1), None, "three"), (2, minutes(1), True)) == [(2, "done", 0, None)]
 
 
+def test_keys_of_a_group_have_their_own_timers(spark, tmp_path):
+    run = Attempted(spark, tmp_path, keep=3600, groups=1, written=spark.createDataFrame([(5,)], "key long"))
+    assert run((1, minutes(0), None, "one"), (2, minutes(0), None, "two"), (5, minutes(0), None, "five"), (None, minutes(0), None, "none")) == [(1, "try", 0, "one"), (2, "try", 0, "two"), (None, "try", 0, "none")]
+    assert run((1, minutes(1), False), (2, minutes(3), False), (None, minutes(3), True)) == [(1, "waiting", 1, None), (2, "waiting", 1, None), (None, "done", 0, None)]
+    assert run((9, minutes(7), None, "x")) == [(1, "try", 1, "one"), (9, "try", 0, "x")]
+    assert run((9, minutes(9), True)) == [(2, "try", 1, "two"), (9, "done", 0, None)]
+    assert run.states == 2  # one value holds all keys, another those without a key
+    assert run((1, minutes(65), False), (1, minutes(65), None, "one")) == [(1, "waiting", 2, None)]  # 5, 2 and the one without a key have ended
+    assert run((8, minutes(69), None, "y"), (2, minutes(69), None, "new")) == [(2, "try", 0, "new"), (8, "try", 0, "y")]
+    assert run((8, minutes(200), True)) == [(1, "try", 2, "one"), (8, "done", 0, None)]
+    assert run.states == 1
+
+
 def test_a_batch_done_again_replaces_what_it_wrote(spark, tmp_path, monkeypatch):
     """The stream dies after a batch's records and before its keys; the next run does the batch again."""
     path, out = str(tmp_path), str(tmp_path / "out")
