@@ -136,7 +136,7 @@ def attempts(events: DataFrame, most: int = MAX_FAILURES, pause: float = PAUSE_S
 
     status: try (now; `row` is what the key was listed with), waiting (until next_try), done or given_up. An event that
     comes after success or the last failure, or lists a key again, changes nothing. A stream has to go on with the same
-    number of `groups`; many more keys than a hundred million at a time want more of them.
+    number of `groups`; a task holds the keys of one at a time, so a stream of very many keys wants more of them.
     """
     known = None if written is None else _dealt(written, groups).groupBy("key_group").agg(F.collect_set("key").alias("keys")).groupBy("key_group")
     dealt = _dealt(events, groups, "time", F.unix_micros("time").alias("micros"), "ok", "row").groupBy("key_group")
