@@ -1,10 +1,11 @@
 import datetime
 import json
+import pathlib
 
 from pyspark.sql import functions as F
 
 from bourselake import schemas
-from bourselake.jobs import backfill, statements, watch
+from bourselake.jobs import backfill, page_queries, statements, watch
 from bourselake.operators import attachments, listing, resume
 from bourselake.sources import attachments as files
 from bourselake.sources import listing as listings
@@ -222,3 +223,13 @@ def test_facts_of_a_load_replace_those_before(spark, tmp_path):
     load([], [(5, day(2026, 3, 1))])
     load([], [(5, day(2026, 3, 1))])
     assert got() == [(1, 0, 9.0), (2, 0, 3.0), (3, 0, 4.0)]
+
+
+def _files(path):
+    return sorted(f for f in pathlib.Path(path.removeprefix("file:")).rglob("*") if f.is_file())
+
+
+def test_page_files_are_made_by_all_tasks_and_have_no_checksums_beside_them(spark, small):
+    made = [f for f in _files(page_queries._landed_pages(spark, small)) if f.name != "_SUCCESS"]
+    assert len(made) == len({f.parent for f in made}) == spark.read.parquet(f"{small}/pages.parquet").where("html is not null").count()
+    assert not any(f.name.endswith(".crc") for f in made) and len({f.name.split("-")[1] for f in made}) == 4
