@@ -233,3 +233,8 @@ def test_page_files_are_made_by_all_tasks_and_have_no_checksums_beside_them(spar
     made = [f for f in _files(page_queries._landed_pages(spark, small)) if f.name != "_SUCCESS"]
     assert len(made) == len({f.parent for f in made}) == spark.read.parquet(f"{small}/pages.parquet").where("html is not null").count()
     assert not any(f.name.endswith(".crc") for f in made) and len({f.name.split("-")[1] for f in made}) == 4
+
+
+def test_attachment_files_share_a_folder_for_each_task(spark, small):
+    made = [f for f in _files(page_queries._landed_files(spark, small)) if f.name != "_SUCCESS"]
+    assert len(made) == spark.read.parquet(f"{small}/pages.parquet").where("html is not null").count() and len({f.parent for f in made}) <= 4
