@@ -18,6 +18,8 @@ from .retry import GROUPS, KEEP_SECONDS, MAX_FAILURES, PAUSE_SECONDS, TRY, attem
 
 #: A listing shows an item until a minute past the end of its day; nothing is later than that.
 LATENESS = "1 day 1 minute"
+#: Outcomes of a batch in one file.
+OUTCOMES = 1_000_000
 
 
 def once_each(stream: DataFrame, time: str, key: str, lateness: str = LATENESS, zone: str = ZONE) -> DataFrame:
@@ -83,6 +85,7 @@ def append_until_done(
     output is read to find what is due. A key is under way until its outcome is heard, and its state goes `keep` seconds
     after it was last listed. Keys in `written` (column key) are taken as done when the stream begins. Time is that of the
     batch: timers need batches to go on, and those come with every listing snapshot, also with one that has nothing new.
+    Joins in `build` broadcast only what it marks with `broadcast`, as nothing tells the size of a batch before it is made.
     A batch that is done again tries the same keys, and `write` gets the same run and number, to replace what it wrote.
     """
     spark, outcomes, schema = stream.sparkSession, f"{checkpoint}/outcomes", stream.schema
@@ -95,13 +98,16 @@ def append_until_done(
     events = listed.unionByName(heard).withColumn("time", F.current_timestamp()).withWatermark("time", "0 seconds")
 
     def batch(changes: DataFrame, number: int) -> None:
+        # rows that timers bring are planned as none, so a join would send them all through the driver
+        changes.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         due = cut(changes.where(F.col("status") == TRY).select(F.from_json("row", schema).alias("row")).select("row.*"))
-        if due.isEmpty():
+        rows = due.count()
+        if not rows:
             return
         done = cut(build(due))
         write(done if order is None else done.orderBy(order), run, number)
         tried = due.select(F.col(key).alias("key")).join(done.select(F.col(key).alias("key"), F.lit(True).alias("ok")), "key", "left")
-        write_batch(tried.select("key", F.coalesce("ok", F.lit(False)).alias("ok")).coalesce(1), outcomes, run, number)
+        write_batch(tried.select("key", F.coalesce("ok", F.lit(False)).alias("ok")).repartition(1 + rows // OUTCOMES), outcomes, run, number)
 
     changes = attempts(events, most, pause, keep, written, groups)
     return changes.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -92,6 +92,25 @@ def test_a_batch_done_again_replaces_what_it_wrote(spark, tmp_path, monkeypatch)
     assert lines() == [0, 1, 2, 3, 4] and {*before} <= {*spark.read.text(out, recursiveFileLookup=True).inputFiles()}
 
 
+def test_a_batch_is_not_broadcast(spark, tmp_path):
+    """Rows that timers bring are planned as none, however many they are."""
+    path, plans, tried = str(tmp_path), [], []
+    rows = spark.createDataFrame([(i,) for i in range(4)], "disclosure_index long")
+    rows.where("disclosure_index > 1").write.parquet(f"{path}/landed")
+
+    def build(due):
+        done = due.join(spark.read.parquet(f"{path}/landed"), "disclosure_index")
+        tried.append(sorted(r[0] for r in due.collect()))
+        plans.append(done._jdf.queryExecution().executedPlan().toString())
+        return done
+
+    for _ in range(2):
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+        watch.append_until_done(stream, "disclosure_index", build, lambda done, *_: done.collect(), f"{path}/state", pause=0).awaitTermination(120)
+    assert [0, 1, 2, 3] in tried and [0, 1] in tried and not any("Broadcast" in p for p in plans)
+
+
 def test_key_table_is_not_shuffled_and_heals(spark, tmp_path):
     out = str(tmp_path / "out")
     table = keys.KeyTable(spark, out, buckets=8)
